@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from limnos.llm import mixing, rules
+from limnos.llm import mixing, pieces, rules
 
 
 def queries() -> dict:
-    return {"op7_quality_rules": rules.op7, "op10_mix_sources": mixing.op10}
+    return {"op7_quality_rules": rules.op7, "op9_sentencepiece": pieces.op9, "op10_mix_sources": mixing.op10}
 
 
 def oracle_sql() -> dict[str, str]:
