@@ -8,11 +8,10 @@ first, and two sets that link share shingles among the first few in that order.
 pairs of those few shingles (two linked sets share one pair at least); large sets by single shingles, whose
 inverted lists are scanned. The boundary between small and large is the one with the least estimated cost.
 
-A list isn't turned into all its pairs. Its smallest set leads the sets within its reach, and only (leader,
-member) pairs are verified at first. What these verified links join is joined; of the other pairs in a list,
-those in different components by then are verified too, unless the distances of both to their leader already
-tell them apart (Jaccard distance is a metric). So no link between components is missed, and a group of m near
-copies costs about m verifications and not m * m.
+A list isn't turned into all its pairs. In a few turns one of its sets leads, and only its pairs with sets of
+other components are verified; the links found join components. At the end every pair of a list whose sets are
+still in different components is verified. So no link between components is missed, and a group of m near
+copies costs some m verifications and not m * m.
 
 Shingles and classes are 59- and 64-bit hashes: two different shingles of a corpus of 1e13 words share a hash
 with a probability of about 1e-5 per document pair at most, and a pair is decided by the hashes of its sets.
@@ -21,6 +20,7 @@ with a probability of about 1e-5 per document pair at most, and a pair is decide
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ COUNTED = 4_000_000
 LEAST_COMMON = 4
 #: Cost of an inverted list's entry against that of a key of a small set.
 SCAN_COST = 2.0
+#: Turns in which the lists' leaders are verified, unless one links less than a twentieth of its pairs.
+TURNS = 5
 #: Largest boundary that is considered.
 MOST_BOUNDARY = 64
 #: Rows up to which ids are broadcast to pick documents; beyond that they are joined by shuffling.
@@ -196,59 +198,75 @@ def _could(na, ia, nb, ib, threshold: int):
     return both
 
 
-def _led(batches, threshold: int) -> Iterator[pa.RecordBatch]:
-    """The lists of two sets or more, each row with its leader."""
-    for key, cid, n, place, large in _lists(batches, ["key", "cid", "n", "place", "large"]):
-        starts, ends = _edges(key)
-        many = ends - starts > 1
-        starts, ends = starts[many], ends[many]
-        if not len(starts):
-            continue
-        lengths = ends - starts
-        rows = np.repeat(starts, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        lead = np.repeat(starts, lengths)
-        for a, b in zip(starts[100 * n[starts] < threshold * n[ends - 1]].tolist(), ends[100 * n[starts] < threshold * n[ends - 1]].tolist(), strict=True):
-            at = int(np.searchsorted(rows, a))
-            i = a
-            while i < b:  # sizes ascend: the next leader is the first set out of reach
-                j = a + int(np.searchsorted(n[a:b], 100 * n[i] // threshold, "right"))
-                lead[at + i - a : at + j - a] = i
-                i = max(j, i + 1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (key[rows], cid[rows], n[rows], place[rows], large[rows], cid[lead], n[lead], place[lead], large[lead])],
-            names=["key", "cid", "n", "place", "large", "lead", "lead_n", "lead_place", "lead_large"],
-        )
+def _shared(batches, threshold: int) -> Iterator[pa.RecordBatch]:
+    """The rows of lists of two sets or more, without those that no set of their list can link to by this key."""
+    names = ["key", "cid", "n", "place", "large"]
+    for columns in _lists(batches, names):
+        while True:
+            key, _, n, place, _ = columns
+            starts, ends = _edges(key)
+            if not len(starts):
+                break
+            least = np.repeat(np.minimum.reduceat(n, starts), ends - starts)
+            least = np.maximum(least, need(n, threshold))
+            ok = ((n - place) * (100 + threshold) >= threshold * (n + least)) & np.repeat(ends - starts > 1, ends - starts)
+            if ok.all():
+                break
+            columns = [c[ok] for c in columns]
+        if len(columns[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+
+def _mixed(key: np.ndarray, label: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(start, end, rows outside the largest component) of each list that spans components."""
+    starts, ends = _edges(key)
+    if len(starts):
+        mixed = np.minimum.reduceat(label, starts) != np.maximum.reduceat(label, starts)
+        for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
+            names, counts = np.unique(label[a:b], return_counts=True)
+            yield a, b, np.flatnonzero(label[a:b] != names[counts.argmax()])
+
+
+def _led(batches, threshold: int, turn: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of each list's leader with the sets of other components: linear in the list.
+
+    The leader is the set of the list's largest component, where there is one, with the fewest rarer shingles:
+    the one that its copies were made from, most likely. Ties fall in an order of the turn's own, which is the
+    same in all lists, so the members of a group mostly meet the same leader.
+    """
+    found: list[np.ndarray] = []
+    for key, cid, n, place, large, label in _lists(batches, ["key", "cid", "n", "place", "large", "label"]):
+        order = mix64(cid.view(np.uint64) ^ keys64(turn + 1, 47)[turn])
+        for a, b, outside in _mixed(key, label):
+            inside = np.ones(b - a, bool)
+            inside[outside] = len(outside) == b - a - 1  # all components have one set: any may lead
+            first = place[a:b] * 4096 // n[a:b]
+            inside &= first == first[inside].min()
+            lead = a + int(np.where(inside, order[a:b], np.uint64(2**64 - 1)).argmin())
+            ok = _could(n[lead], place[lead], n[a:b], place[a:b], threshold) & (large[lead] | large[a:b]) & (label[a:b] != label[lead])
+            j = cid[a:b][ok]
+            found.append(np.stack([np.minimum(j, cid[lead]), np.maximum(j, cid[lead])]))
+        if found:
+            yield _pairs_of(found)
+            found = []
 
 
 def _others(batches, threshold: int, every: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of a list that are in different components, could link and aren't told apart by their leader.
-
-    every: also pairs of the same component.
-    """
-    far = (100 - threshold) / 100 + 1e-9
-    for key, cid, n, place, large, lead, label, d in _lists(batches, ["key", "cid", "n", "place", "large", "lead", "label", "d"]):
-        starts, ends = _edges(key)
-        if not every and len(starts):
-            mixed = np.minimum.reduceat(label, starts) != np.maximum.reduceat(label, starts)
-            starts, ends = starts[mixed], ends[mixed]
+    """Pairs of a list that could link and are in different components (every: in any)."""
+    for key, cid, n, place, large, label in _lists(batches, ["key", "cid", "n", "place", "large", "label"]):
         found: list[np.ndarray] = []
-        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-            if every:
-                alone = np.arange(a, b)
-            else:  # a pair of two components has a set outside the largest one
-                names, counts = np.unique(label[a:b], return_counts=True)
-                alone = a + np.flatnonzero(label[a:b] != names[counts.argmax()])
-            outside = np.zeros(b - a, bool)
-            outside[alone - a] = True
-            for i in alone.tolist():
-                ok = _could(n[i], place[i], n[a:b], place[a:b], threshold) & (large[i] | large[a:b])
-                ok &= (cid[a:b] != cid[i]) if every else (label[a:b] != label[i])
-                ok &= ~(outside & (np.arange(a, b) < i))  # that pair was met the other way round
-                ok &= ~((lead[a:b] == lead[i]) & (np.abs(d[a:b] - d[i]) > far))
-                ok &= (lead[a:b] != cid[i]) & (lead[i] != cid[a:b])  # verified before
+        lists = ((a, b, np.arange(b - a)) for a, b in zip(*_edges(key), strict=True)) if every else _mixed(key, label)
+        for a, b, rows in lists:
+            # a pair of two components has a set outside the largest one
+            listed = np.zeros(b - a, bool)
+            listed[rows] = True
+            for i in rows.tolist():
+                ok = _could(n[a + i], place[a + i], n[a:b], place[a:b], threshold) & (large[a + i] | large[a:b])
+                ok &= (cid[a:b] != cid[a + i]) if every else (label[a:b] != label[a + i])
+                ok[:i] &= ~listed[:i]  # that pair was met the other way round
                 if ok.any():
                     j = cid[a:b][ok]
-                    found.append(np.stack([np.minimum(j, cid[i]), np.maximum(j, cid[i])]))
+                    found.append(np.stack([np.minimum(j, cid[a + i]), np.maximum(j, cid[a + i])]))
             if sum(x.shape[1] for x in found) > 50_000:
                 yield _pairs_of(found)
                 found = []
@@ -382,26 +400,36 @@ class JaccardJoin:
         Those that link are enough for the components; with every, they are all pairs of classes that link.
         """
         t = self.threshold
-        ordered = self.postings().repartition("key").sortWithinPartitions("key", "n", "cid")
-        columns = "key long, cid long, n long, place long, large boolean, lead long, lead_n long, lead_place long, lead_large boolean"
-        lists = stage(ordered.mapInArrow(lambda x: _led(x, t), columns), "lists")
-        reach = F.least(F.col("n") - F.col("place"), F.col("lead_n") - F.col("lead_place")) * (100 + t) >= t * (F.col("n") + F.col("lead_n"))
-        starred = lists.filter((F.col("lead") != F.col("cid")) & reach & (F.col("large") | F.col("lead_large")))
-        first = stage(starred.select(F.least("lead", "cid").alias("a"), F.greatest("lead", "cid").alias("b")).distinct(), "pairs")
-        # sets that share a list are all that a later pair can need
-        sets = self._whole_sets(lists.select(F.col("cid").alias("a"), F.col("lead").alias("b")).distinct())
-        seen = stage(_verified(first, sets), "seen")
-        far = seen.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
-        labels = components(seen.filter(self._links()))
-        rows = lists.select("key", "cid", "n", "place", "large", "lead", F.least("lead", "cid").alias("a"), F.greatest("lead", "cid").alias("b"))
-        rows = rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left").join(far, ["a", "b"], "left")
-        d = F.when(F.col("lead") == F.col("cid"), F.lit(0.0)).otherwise(F.coalesce("d", F.lit(float("nan"))))
-        rows = rows.select("key", "cid", "n", "place", "large", "lead", F.coalesce("label", "cid").alias("label"), d.alias("d"))
-        rows = rows.repartition("key").sortWithinPartitions("key", "n", "cid")
-        more = rows.mapInArrow(lambda x: _others(x, t, every), "a long, b long").distinct().join(first, ["a", "b"], "left_anti")
-        rest = stage(_verified(more, sets), "rest")
-        drop_staged(lists, first, sets)
-        return seen.unionByName(rest)
+        by_list = lambda df: df.repartition("key").sortWithinPartitions("key", "n", "cid")
+        lists = stage(by_list(self.postings()).mapInArrow(lambda x: _shared(x, t), "key long, cid long, n long, place long, large boolean"), "lists")
+        seen, labels = [], None
+
+        def labelled() -> DataFrame:
+            if labels is None:
+                return by_list(lists.withColumn("label", F.col("cid")))
+            rows = lists.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+            return by_list(rows.withColumn("label", F.coalesce("label", "cid")))
+
+        def verify(pairs: DataFrame) -> tuple[int, int]:
+            """Verify the pairs not seen yet; (pairs, links) of them."""
+            for done in seen:
+                pairs = pairs.join(done, ["a", "b"], "left_anti")
+            pairs = stage(pairs.distinct(), "pairs")
+            sets = self._whole_sets(pairs)
+            seen.append(stage(_verified(pairs, sets), "seen"))
+            drop_staged(pairs, sets)
+            row = seen[-1].agg(F.count("*").alias("n"), F.count_if(self._links()).alias("links")).first()
+            return row["n"], row["links"]
+
+        every_seen = lambda: reduce(DataFrame.unionByName, seen)
+        for turn in range(TURNS):
+            tried, linked = verify(labelled().mapInArrow(lambda x, turn=turn: _led(x, t, turn), "a long, b long"))
+            labels = components(every_seen().filter(self._links()))
+            if linked * 20 < tried or not tried:
+                break
+        verify(labelled().mapInArrow(lambda x: _others(x, t, every), "a long, b long"))
+        drop_staged(lists)
+        return every_seen()
 
     def _links(self):
         t = self.threshold
