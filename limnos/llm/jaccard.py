@@ -28,18 +28,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limnos.llm.text import LOWER, blocks, keys64, mix64, span_hashes, text_bytes, word_spans
-from limnos.plans.staging import drop_staged, stage
+from limnos.plans.staging import bounded_join, drop_staged, stage
 
 THRESHOLD = 80
 SHINGLE = 5
 #: Common shingles whose rank is known to every task (16 bytes each); the others count as rare, which only
 #: changes the order in which shingles are tried.
-COMMON = 262_144
-#: Shingles counted together in one task, and the count among them that makes a shingle a common one.
-COUNTED = 4_000_000
+COMMON = 524_288
+#: Shingles counted together in one task. Those that come once among them are left out of the task's counts, and
+#: a shingle is common from LEAST_COMMON of such counts.
+COUNTED = 8_000_000
 LEAST_COMMON = 4
 #: Cost of an inverted list's entry against that of a key of a small set.
 SCAN_COST = 2.0
+#: Sets in a list up to which its pairs are tried all together.
+SHORT_LIST = 48
 #: Turns in which the lists' leaders are verified, unless one links less than a twentieth of its pairs.
 TURNS = 5
 #: Largest boundary that is considered.
@@ -124,7 +127,7 @@ def common_shingles(texts: DataFrame, size: int = SHINGLE, most: int = COMMON) -
 
         def out():
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= LEAST_COMMON
+            often = counts > 1
             return pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["key", "n"])
 
         for part in blocks(batches, "text"):
@@ -136,7 +139,7 @@ def common_shingles(texts: DataFrame, size: int = SHINGLE, most: int = COMMON) -
         if n:
             yield out()
 
-    top = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(most)
+    top = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COMMON).orderBy(F.desc("n"), "key").limit(most)
     got = top.toArrow()
     keys = got.column("key").to_numpy().astype(np.int64).view(np.uint64)
     level = np.minimum(31, np.log2(np.maximum(1, got.column("n").to_numpy())).astype(np.int64))
@@ -217,66 +220,90 @@ def _shared(batches, threshold: int) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _mixed(key: np.ndarray, label: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(start, end, rows outside the largest component) of each list that spans components."""
+def _split(key: np.ndarray, label: np.ndarray, every: bool = False) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]:
+    """Lists that span components: the rows of short ones, and (start, end, rows outside the largest component) of long ones."""
     starts, ends = _edges(key)
-    if len(starts):
-        mixed = np.minimum.reduceat(label, starts) != np.maximum.reduceat(label, starts)
-        for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
-            names, counts = np.unique(label[a:b], return_counts=True)
-            yield a, b, np.flatnonzero(label[a:b] != names[counts.argmax()])
+    if not len(starts):
+        return np.zeros(0, np.int64), []
+    mixed = (np.minimum.reduceat(label, starts) != np.maximum.reduceat(label, starts)) | every
+    short = np.flatnonzero(np.repeat(mixed & (ends - starts <= SHORT_LIST), ends - starts))
+    long = []
+    for a, b in zip(starts[mixed & (ends - starts > SHORT_LIST)].tolist(), ends[mixed & (ends - starts > SHORT_LIST)].tolist(), strict=True):
+        names, counts = np.unique(label[a:b], return_counts=True)
+        long.append((a, b, np.arange(b - a) if every else np.flatnonzero(label[a:b] != names[counts.argmax()])))
+    return short, long
 
 
 def _led(batches, threshold: int, turn: int) -> Iterator[pa.RecordBatch]:
     """Pairs of each list's leader with the sets of other components: linear in the list.
 
-    The leader is the set of the list's largest component, where there is one, with the fewest rarer shingles:
-    the one that its copies were made from, most likely. Ties fall in an order of the turn's own, which is the
-    same in all lists, so the members of a group mostly meet the same leader.
+    The leader is the set with the fewest rarer shingles, of the largest component in a long list: the one that
+    its copies were made from, most likely. Ties fall in an order of the turn's own, which is the same in all
+    lists, so the members of a group mostly meet the same leader.
     """
-    found: list[np.ndarray] = []
     for key, cid, n, place, large, label in _lists(batches, ["key", "cid", "n", "place", "large", "label"]):
         order = mix64(cid.view(np.uint64) ^ keys64(turn + 1, 47)[turn])
-        for a, b, outside in _mixed(key, label):
+        first = place * 4096 // n
+        short, long = _split(key, label)
+        by = np.lexsort((order[short], first[short], key[short]))
+        starts, ends = _edges(key[short][by])
+        leads = [np.repeat(short[by][starts], ends - starts)]
+        rows = [short[by]]
+        for a, b, outside in long:
             inside = np.ones(b - a, bool)
             inside[outside] = len(outside) == b - a - 1  # all components have one set: any may lead
-            first = place[a:b] * 4096 // n[a:b]
-            inside &= first == first[inside].min()
+            inside &= first[a:b] == first[a:b][inside].min()
             lead = a + int(np.where(inside, order[a:b], np.uint64(2**64 - 1)).argmin())
-            ok = _could(n[lead], place[lead], n[a:b], place[a:b], threshold) & (large[lead] | large[a:b]) & (label[a:b] != label[lead])
-            j = cid[a:b][ok]
-            found.append(np.stack([np.minimum(j, cid[lead]), np.maximum(j, cid[lead])]))
-        if found:
-            yield _pairs_of(found)
-            found = []
+            leads.append(np.full(b - a, lead))
+            rows.append(np.arange(a, b))
+        i, j = np.concatenate(leads), np.concatenate(rows)
+        ok = (label[i] != label[j]) & (large[i] | large[j]) & _could(n[i], place[i], n[j], place[j], threshold)
+        if ok.any():
+            yield _pairs_of(cid[i[ok]], cid[j[ok]])
 
 
 def _others(batches, threshold: int, every: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of a list that could link and are in different components (every: in any)."""
     for key, cid, n, place, large, label in _lists(batches, ["key", "cid", "n", "place", "large", "label"]):
-        found: list[np.ndarray] = []
-        lists = ((a, b, np.arange(b - a)) for a, b in zip(*_edges(key), strict=True)) if every else _mixed(key, label)
-        for a, b, rows in lists:
+
+        def could(i, j, cid=cid, n=n, place=place, large=large, label=label):
+            apart = cid[i] != cid[j] if every else label[i] != label[j]
+            return apart & (large[i] | large[j]) & _could(n[i], place[i], n[j], place[j], threshold)
+
+        short, long = _split(key, label, every)
+        found, held = [], 0
+        i = np.arange(len(short))
+        for d in range(1, SHORT_LIST):  # each row with the one d places on
+            i = i[i + d < len(short)]
+            i = i[key[short[i]] == key[short[i + d]]]
+            if not len(i):
+                break
+            ok = could(short[i], short[i + d])
+            found.append((short[i][ok], short[i + d][ok]))
+        for a, b, rows in long:
             # a pair of two components has a set outside the largest one
             listed = np.zeros(b - a, bool)
             listed[rows] = True
             for i in rows.tolist():
-                ok = _could(n[a + i], place[a + i], n[a:b], place[a:b], threshold) & (large[a + i] | large[a:b])
-                ok &= (cid[a:b] != cid[a + i]) if every else (label[a:b] != label[a + i])
+                ok = could(a + i, np.arange(a, b))
                 ok[:i] &= ~listed[:i]  # that pair was met the other way round
-                if ok.any():
-                    j = cid[a:b][ok]
-                    found.append(np.stack([np.minimum(j, cid[a + i]), np.maximum(j, cid[a + i])]))
-            if sum(x.shape[1] for x in found) > 50_000:
-                yield _pairs_of(found)
-                found = []
+                j = a + np.flatnonzero(ok)
+                found.append((np.full(len(j), a + i), j))
+                held += len(j)
+                if held > 50_000:
+                    yield _pairs_of(*(cid[np.concatenate(x)] for x in zip(*found, strict=True)))
+                    found, held = [], 0
         if found:
-            yield _pairs_of(found)
+            yield _pairs_of(*(cid[np.concatenate(x)] for x in zip(*found, strict=True)))
 
 
-def _pairs_of(found: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+def _pairs_of(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    a, b = np.minimum(i, j), np.maximum(i, j)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return pa.RecordBatch.from_arrays([pa.array(a[fresh]), pa.array(b[fresh])], names=["a", "b"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -463,3 +490,20 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op6(spark, sf_dir: str) -> DataFrame:
     return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+    """docs with one row of each component: that with the smallest id, and one of rows with the same id and text.
+
+    Documents without words all stay, but for rows that are repeated.
+    """
+    join = JaccardJoin(docs, id_col, text_col, threshold, size)
+    groups = stage(join.groups().withColumn("pick", F.xxhash64("id")), "groups")
+    # ids to look at: those that another one stands for, and those that come more than once
+    touched = groups.groupBy("pick").agg(F.max((~F.col("id").eqNullSafe(F.col("component_id"))).cast("int")).alias("gone"), (F.count("*") > 1).alias("again"))
+    touched = stage(touched.filter((F.col("gone") == 1) | F.col("again")), "touched").withColumnsRenamed({c: f"__{c}" for c in ("pick", "gone", "again")})
+    rows = docs.withColumn("__pick", F.xxhash64(F.col(f"`{id_col}`")))
+    out = bounded_join(rows, touched, ["__pick"], "left", most=BROADCAST_IDS).filter(F.coalesce("__gone", F.lit(0)) == 0)
+    once = out.filter(~F.coalesce("__again", F.lit(False))).select(*docs.columns)
+    again = out.filter("__again").withColumn("__text", F.xxhash64(F.col(f"`{text_col}`"))).dropDuplicates(["__pick", "__text"]).select(*docs.columns)
+    return once.unionByName(again)
