@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from limnos.plans.staging import stage
+from limnos.plans.staging import bounded_join, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -46,7 +46,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFram
     """Targets of sources (columns src, src_null, source_size): weights in code-point order, null last.
 
     A target stops at `epochs` times its source's size. Sources ordered by size over weight fill up first,
-    so the level that the others share is found by one pass over that order instead of by repeated resharing.
+    so the level that the others share is found by one pass over that order instead of by repeated resharing:
+    it is the one at the first source whose share stays below its cap, and later ones are lower.
     The table has a row for each source.
     """
     by_name = Window.orderBy("src_null", "src")
@@ -58,28 +59,21 @@ def targets(sizes: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFram
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     w = w.withColumn("level", (F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after))
-    level = F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(everything)
+    level = F.max(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(everything)
     return w.withColumn("target", F.least(F.col("cap"), F.coalesce(level, F.lit(float("inf"))) * F.col("w"))).select("src", "src_null", "source_size", "target")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, epochs: int = EPOCHS, buckets: int = BUCKETS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """How often the mix takes each document.
-
-    Returns the id, size (words), source_size, target, taken (words) and copies, and the columns in `keep`.
-    A null or blank text has size 0 and adds no words; a null source is a source of its own; repeated rows are
-    documents of their own and tie by id and size, which leaves the same rows; no rows give no rows. The
-    document at the edge of a budget is taken when at least half of it fits, so a source ends within half a
-    document of its target.
-    """
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    """Columns of each row: its source as two columns that are never null, its size and its key."""
     text = F.col(f"`{text_col}`")
     source = F.col(f"`{source_col}`").cast("string")
-    rows = docs.select(
-        F.col(f"`{id_col}`").alias("__id"), *[F.col(f"`{c}`").alias(f"__keep_{i}") for i, c in enumerate(keep)],
-        F.coalesce(source, F.lit("")).alias("src"), source.isNull().alias("src_null"),
-        n_words(text).alias("size"), F.coalesce(F.length(text), F.lit(0)).alias("chars"),
-    )
-    rows = rows.withColumn("k", -F.log(uniform(F.col("__id"))) / quality_weight(F.col("size"), F.col("chars"))).drop("chars")
-    rows = stage(rows.withColumn("b", F.floor((1.0 - F.exp(-F.col("k"))) * buckets).cast("int")), "mix-rows")
+    size = n_words(text)
+    key = -F.log(uniform(F.col(f"`{id_col}`"))) / quality_weight(size, F.coalesce(F.length(text), F.lit(0)))
+    return {"src": F.coalesce(source, F.lit("")), "src_null": source.isNull(), "size": size, "k": key}
+
+
+def _copies(rows: DataFrame, weights, epochs: int, buckets: int) -> DataFrame:
+    """rows (__id, src, src_null, size, k, b), staged, with source_size, target, whole and copies."""
     per_bucket = rows.groupBy("src", "src_null", "b").agg(F.sum("size").alias("in_bucket"))
     per_source = per_bucket.groupBy("src", "src_null").agg(F.sum("in_bucket").alias("source_size"))
     before = Window.partitionBy("src", "src_null").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -89,12 +83,47 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumn("here", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, ["src", "src_null", "b"])
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rows = rows.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    more = (F.col("size") > 0) & (F.col("offset") + F.col("here") + F.col("size") / 2.0 <= F.col("rest"))
-    rows = rows.withColumn("copies", F.col("whole") + more.cast("long"))
-    return rows.select(
-        F.col("__id").alias(id_col), *[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep)],
-        "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies",
-    )
+    room = F.floor(F.col("rest") - F.col("offset") - F.col("here"))
+    more = F.greatest(F.lit(0), F.least(F.col("size"), room)).cast("long")
+    return rows.withColumn("taken", F.col("whole") * F.col("size") + more).withColumn("copies", F.col("whole") + ((more > 0) & (2 * more >= F.col("size"))).cast("long"))
+
+
+def _staged(docs: DataFrame, id_col: str, text_col: str, source_col: str, buckets: int) -> DataFrame:
+    cols = _keyed(docs, id_col, text_col, source_col)
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), *[c.alias(n) for n, c in cols.items()])
+    return stage(rows.withColumn("b", F.floor((1.0 - F.exp(-F.col("k"))) * buckets).cast("int")), "mix-rows")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, epochs: int = EPOCHS, buckets: int = BUCKETS) -> DataFrame:
+    """How often the mix takes each document: its id, size (words), source_size, target, taken (words) and copies.
+
+    A null or blank text has size 0 and adds no words; a null source is a source of its own; repeated rows are
+    documents of their own and tie by id and size; no rows give no rows. The last document of a source's front
+    gives the words that still fit, so a source ends within a word of its target; it counts as a copy when that
+    is half of it at least.
+    """
+    rows = _copies(_staged(docs, id_col, text_col, source_col, buckets), weights, epochs, buckets)
+    return rows.select(F.col("__id").alias(id_col), "size", "source_size", "target", "taken", "copies")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, epochs: int = EPOCHS, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it; documents come whole (see copies in mix).
+
+    What a source takes of its last epoch is the front of one order, so its whole epochs and the last row of
+    that front say it all; they are joined to the documents by source, and no text is shuffled for it.
+    """
+    order = F.struct("k", "__id", "size")
+    rows = _copies(_staged(docs, id_col, text_col, source_col, buckets), weights, epochs, buckets)
+    last = F.max(F.when(F.col("copies") > F.col("whole"), order)).alias("last")
+    limits = stage(rows.groupBy("src", "src_null").agg(F.max("whole").alias("whole"), last), "mix-limits")
+    names = docs.columns
+    cols = _keyed(docs, id_col, text_col, source_col)
+    out = docs.select("*", F.col(f"`{id_col}`").alias("__id"), *[c.alias(f"__{n}") for n, c in cols.items()])
+    limits = limits.withColumnsRenamed({c: f"__{c}" for c in limits.columns})
+    out = bounded_join(out, limits, ["__src", "__src_null"], "inner")
+    here = F.struct(F.col("__k").alias("k"), F.col("__id"), F.col("__size").alias("size"))
+    more = (F.col("__size") > 0) & F.coalesce(here <= F.col("__last"), F.lit(False))
+    return out.withColumn("__copies", F.col("__whole") + more.cast("long")).filter("__copies > 0").select(*[F.col(f"`{c}`") for c in names], F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).drop("__copy")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
@@ -115,8 +144,8 @@ per AS (SELECT src, src_null, CAST(sum(size) AS BIGINT) AS source_size FROM keye
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY src_null, src) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w FROM per),
 lev AS (SELECT *, 3.0::DOUBLE * source_size AS cap, (sum(source_size) OVER () - coalesce(sum(3.0::DOUBLE * source_size) OVER (ORDER BY 3.0::DOUBLE * source_size / w, src_null, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(w) OVER (ORDER BY 3.0::DOUBLE * source_size / w, src_null, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-tgt AS (SELECT src, src_null, source_size, least(cap, coalesce(min(CASE WHEN level * w <= cap THEN level END) OVER (), 'infinity'::DOUBLE) * w) AS target FROM lev),
+tgt AS (SELECT src, src_null, source_size, least(cap, coalesce(max(CASE WHEN level * w <= cap THEN level END) OVER (), 'infinity'::DOUBLE) * w) AS target FROM lev),
 cum AS (SELECT k.*, t.source_size, t.target, coalesce(sum(size) OVER (PARTITION BY k.src, k.src_null ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
     CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole
     FROM keyed k JOIN tgt t ON k.src = t.src AND k.src_null = t.src_null)
-SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN size > 0 AND before + size / 2.0::DOUBLE <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM cum"""
+SELECT doc_id, size, source_size, target, CAST(size * whole + greatest(0, least(size, floor(target - whole * source_size - before))) AS BIGINT) AS taken FROM cum"""

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from limnos.llm.text import blocks
 
@@ -34,7 +34,8 @@ SHIFT = np.int64(1 << 21)
 class Pieces:
     """A merge-type vocabulary with byte fallback."""
 
-    def __init__(self, model_file: str) -> None:
+    def __init__(self, model_file: str, packed: bool = False) -> None:
+        """packed: results hold little-endian 32-bit ids instead of decimal ids joined by commas."""
         import sentencepiece
 
         lib = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -63,7 +64,8 @@ class Pieces:
         order = {s: r for r, s in enumerate(sorted(set(scores.values()), reverse=True))}
         self.rank = {p: order[s] for p, s in scores.items()}
         self._pairs()
-        self.table: dict[str, str] = {}  # segment without its first mark -> ids joined by commas
+        self.packed = packed
+        self.table: dict[str, str | bytes] = {}  # segment without its first mark -> its ids
         self.odd: dict[str, str] = {}  # those whose decoded text isn't their own
         self.id_text = [str(i) for i in range(n)]
 
@@ -175,7 +177,7 @@ class Pieces:
             marked = [MARK + k.replace(" ", MARK) for k in group]
             pairs = self.encode_short(marked) if n < SHORT else ((i, self.encode_long(x)) for i, x in enumerate(marked))
             for i, ids in pairs:
-                self.table[group[i]] = ",".join([self.id_text[x] for x in ids])
+                self.table[group[i]] = np.array(ids, "<i4").tobytes() if self.packed else ",".join([self.id_text[x] for x in ids])
                 if "".join([self.text[x] or "" for x in ids]) != marked[i] and (text := self.decode(ids, first=False)) != " " + group[i]:
                     self.odd[group[i]] = text
 
@@ -213,8 +215,8 @@ class Pieces:
         text = "".join(out)
         return (text.removeprefix(MARK) if first else text).replace(MARK, " ")
 
-    def batch(self, texts: list[str | None]) -> list[tuple[str, str]]:
-        """(ids joined by commas, decoded text) of each text; a null one is empty."""
+    def batch(self, texts: list[str | None]) -> list[tuple[str | bytes, str]]:
+        """(ids, decoded text) of each text; a null one is empty."""
         split = [self.segments(t or "") for t in texts]
         fresh: set[str] = set()
         for s in split:
@@ -224,7 +226,7 @@ class Pieces:
         self._learn([k for k in fresh if k not in self.table])
         out = []
         for t, s in zip(texts, split, strict=True):
-            ids = ",".join(map(self.table.__getitem__, s))
+            ids = (b"" if self.packed else ",").join(map(self.table.__getitem__, s))
             if not s:
                 text = ""
             elif self.odd and not self.odd.keys().isdisjoint(s):
@@ -236,33 +238,36 @@ class Pieces:
 
     def encode(self, text: str | None) -> list[int]:
         ids = self.batch([text])[0][0]
+        if self.packed:
+            return np.frombuffer(ids, "<i4").tolist()
         return [int(x) for x in ids.split(",")] if ids else []
 
 
 @lru_cache(maxsize=4)
-def pieces(model_file: str) -> Pieces:
+def pieces(model_file: str, packed: bool = False) -> Pieces:
     """The worker's vocabulary of a file that every node has."""
-    return Pieces(model_file)
+    return Pieces(model_file, packed)
 
 
-def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
-    """Ids (array of int) and decoded text of each row of docs, beside its id.
+def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), decoded: bool = True) -> DataFrame:
+    """Ids (array of int) and decoded text of each row of docs, beside its id and the columns in `keep`.
 
     A null or empty text has no ids and decodes to the empty string; rows stay as they are, repeated or not;
     other columns are left out.
     """
-    schema = StructType([docs.schema[id_col], StructField("ids", StringType()), StructField("decoded", StringType())])
-    source = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("__text"))
+    first = [docs.schema[c] for c in (id_col, *keep)]
+    schema = StructType([*first, StructField("ids", ArrayType(IntegerType())), *([StructField("decoded", StringType())] if decoded else [])])
+    source = docs.select(*[F.col(f"`{f.name}`") for f in first], F.col(f"`{text_col}`").cast("string").alias("__text"))
 
     def run(batches):
-        p = pieces(model_file)
+        p = pieces(model_file, True)
         for part in blocks(batches, "__text"):
-            got = p.batch(part.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.string())], names=[id_col, "ids", "decoded"])
+            got = p.batch(part.column(len(first)).to_pylist())
+            ends = np.cumsum([0, *[len(g[0]) // 4 for g in got]]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join([g[0] for g in got]), "<i4")))
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(first)], ids, *([pa.array([g[1] for g in got], pa.string())] if decoded else [])], names=schema.names)
 
-    out = source.mapInArrow(run, schema)
-    ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", ",").cast("array<int>"))
-    return out.withColumn("ids", ids) if with_ids else out
+    return source.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
