@@ -78,7 +78,7 @@ def test_optional_sources(spark, tmp_path, caplog):
     assert snapshots.station_list(spark, f"{tmp_path}/ids.csv").count() == 2
 
 
-SECTIONS = "ID,Param,TS\n07EA004,{p},QR\n\n\n\n\nTime,Value,Approval\n2022-01-01T00:00:00Z,1.5,Final\nbad,x,\n"
+SECTIONS = "ID,Param,TS\n08XX001,{p},QR\n\n\n\n\nTime,Value,Approval\n2022-01-01T00:00:00Z,1.5,Final\nbad,x,\n"
 
 
 def test_csv_of_two_sections(spark, tmp_path):

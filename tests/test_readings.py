@@ -12,7 +12,7 @@ from limnos.schema import READINGS
 MAY, JUNE = datetime(2026, 5, 14), datetime(2026, 6, 1)
 
 
-def reading(station="07EA004", parameter=5.0, when=datetime(2026, 5, 1), value=1.0, harvested=MAY, unit=None):
+def reading(station="08XX001", parameter=5.0, when=datetime(2026, 5, 1), value=1.0, harvested=MAY, unit=None):
     return (station, parameter, when, value, unit, None, None, None, None, None, harvested)
 
 
