@@ -37,7 +37,7 @@ SHINGLE = 5
 COMMON = 524_288
 #: Shingles counted together in one task. Those that come once among them are left out of the task's counts, and
 #: a shingle is common from LEAST_COMMON of such counts.
-COUNTED = 8_000_000
+COUNTED = 3_000_000
 LEAST_COMMON = 4
 #: Cost of an inverted list's entry against that of a key of a small set.
 SCAN_COST = 2.0
@@ -126,16 +126,19 @@ def common_shingles(texts: DataFrame, size: int = SHINGLE, most: int = COMMON) -
         held, n = [], 0
 
         def out():
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts > 1
-            return pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["key", "n"])
+            keys = np.concatenate(held)
+            held.clear()
+            keys.sort()
+            starts, ends = _edges(keys)
+            often = ends - starts > 1
+            return pa.RecordBatch.from_arrays([pa.array(keys[starts[often]].view(np.int64)), pa.array((ends - starts)[often])], names=["key", "n"])
 
         for part in blocks(batches, "text"):
             held.append(shingles(part.column(part.schema.get_field_index("text")), size)[1] >> np.uint64(5))
             n += len(held[-1])
             if n >= COUNTED:
                 yield out()
-                held, n = [], 0
+                n = 0
         if n:
             yield out()
 
