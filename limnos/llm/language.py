@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from limnos.llm.text import blocks
+from limnos.plans.staging import bounded_join, stage
 
 #: Training documents of a language, and bytes that each gives to the dictionary at most.
 DOCS_PER_LANGUAGE = 96
@@ -45,9 +46,14 @@ def letters(text: str) -> bytes:
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE) -> dict[str, bytes]:
     """Dictionaries from a bounded sample: `docs_per_language` documents of each language, in the order of a hash of their text."""
-    text = F.col(f"`{text_col}`")
-    rows = docs.filter(F.col(f"`{lang_col}`").isNotNull() & text.isNotNull()).select(F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text"), F.xxhash64(text).alias("h"))
-    rows = rows.dropDuplicates(["lang", "h"]).withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("n") <= docs_per_language)
+    text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string")
+    rows = docs.filter(lang.isNotNull() & text.isNotNull())
+    # a share of each language that holds some four times the sample, so that no language is gathered in one task
+    share = rows.groupBy(lang.alias("lang")).agg(F.least(F.lit(1.0), F.lit(4.0 * docs_per_language) / F.count("*")).alias("share"))
+    rows = rows.select(lang.alias("lang"), text.alias("text"), F.xxhash64(text).alias("h"))
+    rows = bounded_join(rows, stage(share, "languages"), ["lang"], "inner").filter(F.pmod(F.col("h"), F.lit(1 << 30)) <= F.col("share") * (1 << 30))
+    rows = rows.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= docs_per_language)
     found: dict[str, list[bytes]] = {}
     for r in rows.orderBy("lang", "n").collect():
         clean = letters(r["text"])
