@@ -400,15 +400,19 @@ class JaccardJoin:
         t, b = self.threshold, self.boundary
         n = F.col("n")
         few = (n - F.ceil(n * t / 100) + 1).cast("int")
-        lists = self.classes.filter((n * 100 >= t * b) & (n > 1)).select(F.posexplode(F.slice("prefix", F.lit(1), few)).alias("place", "key"), "cid", "n")
-        lists = lists.select("key", "cid", "n", F.col("place").cast("long").alias("place"), (n >= b).alias("large"))
+        # sets so tiny that one common shingle may do have no pair for a key: they go to the lists, and with them
+        # the sets that they could link to. At thresholds over 50 these have one shingle and only equal sets link.
+        tiny = 100 // t
+        beside = 100 * tiny // t
+        lists = self.classes.filter(((n * 100 >= t * b) | (n <= beside)) & (n > (0 if beside > 1 else 1))).select(F.posexplode(F.slice("prefix", F.lit(1), few)).alias("place", "key"), "cid", "n")
+        lists = lists.select("key", "cid", "n", F.col("place").cast("long").alias("place"), ((n >= b) | (n <= tiny)).alias("large"))
         pairs = F.flatten(
             F.transform(
                 F.slice(F.col("prefix"), F.lit(1), F.size("prefix") - 1),
                 lambda x, i: F.transform(F.slice(F.col("prefix"), i + 2, F.size("prefix")), lambda y: F.xxhash64(x, y)),
             )
         )
-        small = self.classes.filter((n > 1) & (n < b)).select(F.explode(pairs).alias("key"), "cid", "n")
+        small = self.classes.filter((n > tiny) & (n < b)).select(F.explode(pairs).alias("key"), "cid", "n")
         # any two small sets may meet under such a key, wherever it stands
         small = small.select("key", "cid", "n", F.lit(0).cast("long").alias("place"), F.lit(True).alias("large"))
         return lists.unionByName(small)
