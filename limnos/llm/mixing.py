@@ -63,13 +63,14 @@ def targets(sizes: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFram
     return w.withColumn("target", F.least(F.col("cap"), F.coalesce(level, F.lit(float("inf"))) * F.col("w"))).select("src", "src_null", "source_size", "target")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
-    """Columns of each row: its source as two columns that are never null, its size and its key."""
-    text = F.col(f"`{text_col}`")
-    source = F.col(f"`{source_col}`").cast("string")
-    size = n_words(text)
-    key = -F.log(uniform(F.col(f"`{id_col}`"))) / quality_weight(size, F.coalesce(F.length(text), F.lit(0)))
-    return {"src": F.coalesce(source, F.lit("")), "src_null": source.isNull(), "size": size, "k": key}
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """docs with its columns __id, __src and __src_null (a source that is never null), __size and __k (the key)."""
+    text, source = F.col(f"`{text_col}`"), F.col(f"`{source_col}`").cast("string")
+    out = docs.select(
+        "*", F.col(f"`{id_col}`").alias("__id"), F.coalesce(source, F.lit("")).alias("__src"), source.isNull().alias("__src_null"), n_words(text).alias("__size"), F.coalesce(F.length(text), F.lit(0)).alias("__chars")
+    )
+    # a projection of its own: words are counted once for all that the key needs
+    return out.withColumn("__k", -F.log(uniform(F.col("__id"))) / quality_weight(F.col("__size"), F.col("__chars"))).drop("__chars")
 
 
 def _copies(rows: DataFrame, weights, epochs: int, buckets: int) -> DataFrame:
@@ -89,8 +90,7 @@ def _copies(rows: DataFrame, weights, epochs: int, buckets: int) -> DataFrame:
 
 
 def _staged(docs: DataFrame, id_col: str, text_col: str, source_col: str, buckets: int) -> DataFrame:
-    cols = _keyed(docs, id_col, text_col, source_col)
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), *[c.alias(n) for n, c in cols.items()])
+    rows = _keyed(docs, id_col, text_col, source_col).select("__id", *[F.col(f"__{c}").alias(c) for c in ("src", "src_null", "size", "k")])
     return stage(rows.withColumn("b", F.floor((1.0 - F.exp(-F.col("k"))) * buckets).cast("int")), "mix-rows")
 
 
@@ -117,8 +117,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     last = F.max(F.when(F.col("copies") > F.col("whole"), order)).alias("last")
     limits = stage(rows.groupBy("src", "src_null").agg(F.max("whole").alias("whole"), last), "mix-limits")
     names = docs.columns
-    cols = _keyed(docs, id_col, text_col, source_col)
-    out = docs.select("*", F.col(f"`{id_col}`").alias("__id"), *[c.alias(f"__{n}") for n, c in cols.items()])
+    out = _keyed(docs, id_col, text_col, source_col)
     limits = limits.withColumnsRenamed({c: f"__{c}" for c in limits.columns})
     out = bounded_join(out, limits, ["__src", "__src_null"], "inner")
     here = F.struct(F.col("__k").alias("k"), F.col("__id"), F.col("__size").alias("size"))
