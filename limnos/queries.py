@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limnos.functions.scalars import case, chunk_of, days_between, number, snapshot_name, stamped
+from limnos.functions.timebounds import literal
 from limnos.operators import latest, sets, tidy
 from limnos.operators.amalgamate import amalgamate, overlap_counts
 from limnos.plans.canonical import Readings
@@ -19,6 +20,7 @@ from limnos.plans.canonical import Readings
 EVENTS = Readings("user_id", "event_type", "ts", "value", "ts", ["user_id", "event_type", "day"], ["event_id"])
 COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 MERGE = ["k1", "k2", "v", "d"]
+OVERLAP = (datetime(1998, 1, 1), datetime(1999, 1, 1))
 
 
 def _table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +36,9 @@ def _canonical(**bounds):
 
 
 def _delivery(spark, sf_dir: str, first: bool) -> DataFrame:
-    """Two overlapping slices of lineitem, with nulls among the key columns and a payload column each."""
-    rows = _table(spark, sf_dir, "lineitem").filter("l_orderkey < 3000" if first else "l_orderkey BETWEEN 2000 AND 5000")
+    """Two deliveries of lineitem that overlap by a year and hold all of it, with nulls among the key columns and a payload column each."""
+    day = F.col("l_shipdate")
+    rows = _table(spark, sf_dir, "lineitem").filter(day < literal(OVERLAP[1], naive=True) if first else day >= literal(OVERLAP[0], naive=True))
     payload = F.col("l_returnflag").alias("p") if first else F.col("l_linestatus").alias("q")
     return rows.select(F.col("l_orderkey").alias("k1"), F.col("l_linenumber").alias("k2"), F.nullif("l_quantity", F.lit(7.0)).alias("v"), payload, F.col("l_shipdate").alias("d"))
 
@@ -53,7 +56,7 @@ def series_single(spark, sf_dir):
 
 
 def daily_mean(spark, sf_dir):
-    return EVENTS.daily_mean(EVENTS.query(_events(spark, sf_dir), stations=[3, 7, 11]), "mean_c")
+    return EVENTS.daily_mean(EVENTS.query(_events(spark, sf_dir)), "mean_c")
 
 
 def latest_per_station(spark, sf_dir):
@@ -192,8 +195,8 @@ def queries() -> dict:
     }
 
 
-_A = "SELECT l_orderkey AS k1, l_linenumber AS k2, CAST(nullif(l_quantity, 7) AS DOUBLE) AS v, l_returnflag AS p, l_shipdate AS d FROM lineitem WHERE l_orderkey < 3000"
-_B = "SELECT l_orderkey AS k1, l_linenumber AS k2, CAST(nullif(l_quantity, 7) AS DOUBLE) AS v, l_linestatus AS q, l_shipdate AS d FROM lineitem WHERE l_orderkey BETWEEN 2000 AND 5000"
+_A = "SELECT l_orderkey AS k1, l_linenumber AS k2, CAST(nullif(l_quantity, 7) AS DOUBLE) AS v, l_returnflag AS p, l_shipdate AS d FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01 00:00:00'"
+_B = "SELECT l_orderkey AS k1, l_linenumber AS k2, CAST(nullif(l_quantity, 7) AS DOUBLE) AS v, l_linestatus AS q, l_shipdate AS d FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00'"
 _SAME = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in MERGE)
 
 
@@ -214,7 +217,7 @@ def oracle_sql() -> dict[str, str]:
         "canonical_to_date": _can("WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00'"),
         "canonical_to_instant": _can("WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-10 00:00:00'"),
         "series_single": f"SELECT user_id, ts, value FROM ({_can("WHERE event_type = 'view' AND user_id = 7")}) c ORDER BY ts",
-        "daily_mean": f"SELECT user_id, CAST(ts AS DATE) AS date_day, avg(value) AS mean_c, count(*) AS n_obs FROM ({_can('WHERE user_id IN (3, 7, 11)')}) c GROUP BY ALL",
+        "daily_mean": f"SELECT user_id, CAST(ts AS DATE) AS date_day, avg(value) AS mean_c, count(*) AS n_obs FROM ({_can()}) c GROUP BY ALL",
         "latest_per_station": f"SELECT user_id, ts, value FROM (SELECT c.*, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS r2 FROM ({view}) c) y WHERE r2 = 1",
         "station_range": ranges,
         "station_table": f"SELECT s.c_custkey, s.c_name, r.min_date, r.max_date FROM customer s LEFT JOIN ({ranges}) r ON s.c_custkey IS NOT DISTINCT FROM r.user_id",
