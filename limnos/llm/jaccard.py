@@ -417,16 +417,33 @@ class JaccardJoin:
         small = small.select("key", "cid", "n", F.lit(0).cast("long").alias("place"), F.lit(True).alias("large"))
         return lists.unionByName(small)
 
-    def _whole_sets(self, pairs: DataFrame) -> DataFrame:
-        """(cid, set) of the classes in pairs: a second reading of one document of each."""
+    def _picked(self, pairs: DataFrame) -> DataFrame:
+        """(cid, pick) of the classes in pairs, staged: a document to read for each."""
         cids = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-        picks = stage(cids.join(self.classes.select("cid", "pick"), "cid"), "picks")
+        return stage(cids.join(self.classes.select("cid", "pick"), "cid"), "picks")
+
+    def _of(self, docs: DataFrame, picks: DataFrame) -> DataFrame:
+        """The rows of docs (with their pick) that are picked; ids beyond a bound are joined by shuffling."""
         ids = picks.select("pick").distinct()
-        if picks.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        docs = self.texts.join(ids, "pick", "left_semi")
-        sets = self._sets(prefix=False, only=docs).join(picks.select("cid"), "cid", "left_semi")
-        return stage(sets.groupBy("cid").agg(F.first("set").alias("set")), "whole")
+        return docs.join(F.broadcast(ids) if picks.count() <= BROADCAST_IDS else ids, "pick", "left_semi")
+
+    def _whole_sets(self, picks: DataFrame) -> DataFrame:
+        """(cid, set) of the classes picked: a second reading of one document of each."""
+        sets = self._sets(prefix=False, only=self._of(self.texts, picks)).join(picks.select("cid"), "cid", "left_semi")
+        return sets.groupBy("cid").agg(F.first("set").alias("set"))
+
+    def _likely(self, pairs: DataFrame, picks: DataFrame) -> DataFrame:
+        """The pairs whose sets have as many keys in common among the fronts of their sets as a link asks for.
+
+        Of an overlap of o, at most need - 1 are behind the front of the set whose front ends first.
+        """
+        t = self.threshold
+        fronts = self._of(self.rows, picks).join(picks.select("cid"), "cid", "left_semi").groupBy("cid").agg(F.first("n").alias("n"), F.first("prefix").alias("front"))
+        fronts = fronts.select("cid", "n", F.slice("front", F.lit(1), (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")).alias("front"))
+        side = lambda x: fronts.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("front").alias(f"f{x}"))
+        both = F.size(F.array_intersect("fa", "fb"))
+        asked = F.ceil((F.col("na") + F.col("nb")) * t / (100 + t)) - F.ceil(F.greatest("na", "nb") * t / 100) + 1
+        return pairs.join(side("b"), "b").join(side("a"), "a").filter(both >= asked).select("a", "b")
 
     def overlaps(self, every: bool = False) -> DataFrame:
         """Verified pairs of classes (a, b, na, nb, both).
@@ -444,14 +461,19 @@ class JaccardJoin:
             rows = lists.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
             return by_list(rows.withColumn("label", F.coalesce("label", "cid")))
 
-        def verify(pairs: DataFrame) -> tuple[int, int]:
-            """Verify the pairs not seen yet; (pairs, links) of them."""
+        def verify(pairs: DataFrame, sift: bool = False) -> tuple[int, int]:
+            """Verify the pairs not seen yet; (pairs, links) of them. sift: look at the fronts of their sets first."""
             for done in seen:
                 pairs = pairs.join(done, ["a", "b"], "left_anti")
             pairs = stage(pairs.distinct(), "pairs")
-            sets = self._whole_sets(pairs)
-            seen.append(stage(_verified(pairs, sets), "seen"))
-            drop_staged(pairs, sets)
+            picks = self._picked(pairs)
+            if sift:
+                all_pairs, all_picks = pairs, picks
+                pairs = stage(self._likely(pairs, picks), "likely")
+                picks = self._picked(pairs)
+                drop_staged(all_pairs, all_picks)
+            seen.append(stage(_verified(pairs, self._whole_sets(picks)), "seen"))
+            drop_staged(pairs, picks)
             row = seen[-1].agg(F.count("*").alias("n"), F.count_if(self._links()).alias("links")).first()
             return row["n"], row["links"]
 
@@ -461,7 +483,7 @@ class JaccardJoin:
             labels = components(every_seen().filter(self._links()))
             if linked * 20 < tried or not tried:
                 break
-        verify(labelled().mapInArrow(lambda x: _others(x, t, every), "a long, b long"))
+        verify(labelled().mapInArrow(lambda x: _others(x, t, every), "a long, b long"), sift=True)
         drop_staged(lists)
         return every_seen()
 
