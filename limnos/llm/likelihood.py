@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from limnos.llm.gru import GROUP, GROUPS, TAILS, Gru
 from limnos.llm.text import LOWER, blocks, mix64, span_hashes, text_bytes, word_spans
@@ -182,7 +182,7 @@ def likelihoods(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     net = spark.sparkContext.broadcast(train(learned, known, given, share))
     names = ["n_tokens", "n_known", "base", "score", "rare"]
     schema = StructType([docs.schema[id_col], rows.schema["__train"], StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("base", DoubleType()), StructField("score", DoubleType())])
-    ddl = StructType([*schema.fields, *spark.createDataFrame([], "rare array<long>").schema.fields])
+    with_rare = StructType([*schema.fields, StructField("rare", ArrayType(LongType()))])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         known, model = given.value, net.value
@@ -216,7 +216,7 @@ def likelihoods(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
         if held:
             yield out()
 
-    scored = stage(rows.mapInArrow(run, ddl).withColumn("row", F.monotonically_increasing_id()), "scored")
+    scored = stage(rows.mapInArrow(run, with_rare).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode("rare").alias("h")).join(counts, "h", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("rare_log"), F.count("c").alias("rare_known"))
     both = scored.drop("rare").join(rare, "row", "left")

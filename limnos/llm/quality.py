@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from limnos.llm.text import LOWER, SPACE, blocks, mix64, runs, span_hashes, text_bytes, word_spans
 
@@ -147,8 +147,8 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "d
                 [part.column(0), part.column(1), pa.array([s.astype(np.uint16).tobytes() for s in sparse], pa.binary()), pa.array([r[s].tobytes() for r, s in zip(counts, sparse, strict=True)], pa.binary())], names=["id", "label", "at", "n"]
             )
 
-    schema = StructType([rows.schema["id"], StructField("label", DoubleType())])
-    out = rows.mapInArrow(run, StructType([*schema.fields, *docs.sparkSession.createDataFrame([], "at binary, n binary").schema.fields])).dropDuplicates(["id"]).orderBy("id").collect()
+    schema = StructType([rows.schema["id"], StructField("label", DoubleType()), StructField("at", BinaryType()), StructField("n", BinaryType())])
+    out = rows.mapInArrow(run, schema).dropDuplicates(["id"]).orderBy("id").collect()
     counts = np.zeros((len(out), FEATURES), np.float32)
     for i, r in enumerate(out):
         counts[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["n"], np.float32)
