@@ -119,7 +119,7 @@ def class_ids(keys: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def common_shingles(texts: DataFrame, size: int = SHINGLE, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(texts: DataFrame, size: int = SHINGLE, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys of the most common shingles and their levels (log2 of the counts, 31 at most)."""
 
     def count(batches) -> Iterator[pa.RecordBatch]:
@@ -142,7 +142,7 @@ def common_shingles(texts: DataFrame, size: int = SHINGLE, most: int = COMMON) -
         if n:
             yield out()
 
-    top = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COMMON).orderBy(F.desc("n"), "key").limit(most)
+    top = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COMMON).orderBy(F.desc("n"), "key").limit(COMMON if most is None else most)
     got = top.toArrow()
     keys = got.column("key").to_numpy().astype(np.int64).view(np.uint64)
     level = np.minimum(31, np.log2(np.maximum(1, got.column("n").to_numpy())).astype(np.int64))

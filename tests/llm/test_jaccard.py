@@ -47,7 +47,7 @@ def near_copies(seed, base, copies, edits, vocabulary=400):
         for _ in range(r.randrange(copies)):
             other = list(words)
             for _ in range(r.randrange(edits + 1)):
-                k = r.randrange(len(other))
+                k = r.randrange(len(other) or 1)
                 other[k : k + r.randrange(2)] = [word()] * r.randrange(3)
             texts.append("  ".join(other).upper() if r.random() < 0.2 else " ".join(other))
     r.shuffle(texts)
@@ -117,3 +117,20 @@ def test_shingles_are_those_of_the_words(texts):
     rows, hashes = jaccard.shingles(pa.array(texts, pa.string()))
     for i, t in enumerate(texts):
         assert len(set(hashes[rows == i].tolist())) == len(shingles(t))
+
+
+def test_ids_beyond_the_broadcast_bound_are_joined(docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0)
+    texts = near_copies(17, 25, 6, 3)
+    want, _ = brute(list(enumerate(texts, 1)))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(docs(texts)).collect()} == want
+    assert sorted(r["doc_id"] for r in jaccard.one_of_each(docs(texts)).collect()) == sorted({c for _, c in want.values()})
+
+
+def test_the_order_of_shingles_does_not_matter(docs, monkeypatch):
+    texts = near_copies(23, 20, 8, 3)
+    want, _ = brute(list(enumerate(texts, 1)))
+    for most, cost in ((1, 0.01), (jaccard.COMMON, 100.0)):
+        monkeypatch.setattr(jaccard, "COMMON", most)
+        join = jaccard.JaccardJoin(docs(texts), scan_cost=cost)
+        assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in join.groups().collect()} == want
