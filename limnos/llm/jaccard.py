@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limnos.llm.text import LOWER, blocks, keys64, mix64, span_hashes, text_bytes, word_spans
+from limnos.llm.text import LOWER, blocks, keys64, mix64, small_batches, span_hashes, text_bytes, word_spans
 from limnos.plans.staging import bounded_join, drop_staged, stage
 
 THRESHOLD = 80
@@ -352,6 +352,7 @@ class JaccardJoin:
     """The join over one table; its parts are staged tables."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, size: int = SHINGLE, scan_cost: float = SCAN_COST) -> None:
+        small_batches(docs)
         self.threshold, self.size = threshold, size
         self.texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{id_col}`")).alias("pick"), F.col(f"`{text_col}`").cast("string").alias("text"))
         common, level = common_shingles(self.texts.filter(F.col("text").isNotNull()), size)

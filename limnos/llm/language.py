@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from limnos.llm.text import blocks
+from limnos.llm.text import blocks, small_batches
 from limnos.plans.staging import bounded_join, stage
 
 #: Training documents of a language, and bytes that each gives to the dictionary at most.
@@ -46,6 +46,7 @@ def letters(text: str) -> bytes:
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE) -> dict[str, bytes]:
     """Dictionaries from a bounded sample: `docs_per_language` documents of each language, in the order of a hash of their text."""
+    small_batches(docs)
     text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string")
     rows = docs.filter(lang.isNotNull() & text.isNotNull())
     # a share of each language that holds some four times the sample, so that no language is gathered in one task
@@ -97,6 +98,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     A text that is null or has no letter is `und` with score 0 and rejected, as is every text when no language
     was learned; ties go to the first language by name; repeated rows get equal results.
     """
+    small_batches(docs)
     fields = [docs.schema[id_col], *[docs.schema[c] for c in keep if c not in (id_col, text_col)]]
     source = docs.select(*[F.col(f"`{f.name}`") for f in fields], F.col(f"`{text_col}`").cast("string").alias("__text"))
     schema = StructType([*fields, *([StructField(text_col, StringType())] if text_col in keep else []), StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from limnos.llm.gru import GROUP, GROUPS, TAILS, Gru
-from limnos.llm.text import LOWER, blocks, mix64, span_hashes, text_bytes, word_spans
+from limnos.llm.text import LOWER, blocks, mix64, small_batches, span_hashes, text_bytes, word_spans
 from limnos.plans.staging import stage
 
 HEAD = GROUP * GROUPS
@@ -173,6 +173,7 @@ def likelihoods(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     model), in log10. A null or empty text is one end token; repeated rows get equal scores up to rounding;
     with no training rows every count is 0.
     """
+    small_batches(docs)
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias(id_col), training.alias("__train"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     learned = rows.filter("__train").select("text")

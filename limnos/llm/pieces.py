@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from limnos.llm.text import blocks
+from limnos.llm.text import blocks, small_batches
 
 MARK = "▁"
 #: Segments in a worker's table before it starts anew.
@@ -255,6 +255,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     A null or empty text has no ids and decodes to the empty string; rows stay as they are, repeated or not;
     other columns are left out.
     """
+    small_batches(docs)
     first = [docs.schema[c] for c in (id_col, *keep)]
     schema = StructType([*first, StructField("ids", ArrayType(IntegerType())), *([StructField("decoded", StringType())] if decoded else [])])
     source = docs.select(*[F.col(f"`{f.name}`") for f in first], F.col(f"`{text_col}`").cast("string").alias("__text"))
@@ -272,6 +273,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
 
 def digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """n_tokens, ids_sha256 and decoded_sha256 of each row of docs: encode() without its long columns."""
+    small_batches(docs)
     schema = StructType([docs.schema[id_col], StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
     source = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("__text"))
 
@@ -288,6 +290,7 @@ def digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
 
 def differences(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose ids or decoded text differ from the library's, checked in Arrow batches."""
+    small_batches(docs)
     schema = StructType([docs.schema[id_col], StructField("same_ids", StringType()), StructField("same_text", StringType())])
     source = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("__text"))
 

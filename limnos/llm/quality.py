@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
-from limnos.llm.text import LOWER, SPACE, blocks, mix64, runs, span_hashes, text_bytes, word_spans
+from limnos.llm.text import LOWER, SPACE, blocks, mix64, runs, small_batches, span_hashes, text_bytes, word_spans
 
 #: Labelled documents that vote, at most; their vectors take LABELLED * RANK * 4 bytes in every task.
 LABELLED = 8192
@@ -133,6 +133,7 @@ def fit(counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Voters:
 
 def learn(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = LABELLED) -> Voters:
     """Voters from at most `most` labelled documents where training (over the id) holds, in the order of a hash of the id."""
+    small_batches(docs)
     marked = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("label")).filter(F.col("label").isNotNull() & F.col("id").isNotNull())
     marked = marked.withColumnRenamed("id", id_col).filter(training).withColumnRenamed(id_col, "id").groupBy("id").agg(F.max("label").alias("label"))
     marked = marked.orderBy(F.xxhash64("id"), "id").limit(most)
@@ -162,6 +163,7 @@ def score(docs: DataFrame, voters: Voters, id_col: str = "doc_id", text_col: str
     (0.5 then); repeated rows get equal scores up to rounding; equal cosines at the last place are cut as they
     come from the sample's order.
     """
+    small_batches(docs)
     given = docs.sparkSession.sparkContext.broadcast(voters)
     schema = StructType([docs.schema[id_col], StructField("score", DoubleType())])
     source = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("__text"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from limnos.llm.text import blocks, code_points, runs, text_bytes
+from limnos.llm.text import blocks, code_points, runs, small_batches, text_bytes
 
 KINDS = ("assign", "access", "hex", "model")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -268,6 +268,7 @@ def find_secrets(docs: DataFrame, net: Network | None = None, id_col: str = "doc
     A null or empty text has none; base findings stay whatever the network says of them; repeated rows get
     equal findings; places count code points and the end is exclusive.
     """
+    small_batches(docs)
     net = net or default_network()
     span = StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("probability", DoubleType())])
     schema = StructType([docs.schema[id_col], StructField("findings", ArrayType(span))])
@@ -285,6 +286,7 @@ def find_secrets(docs: DataFrame, net: Network | None = None, id_col: str = "doc
 
 def redact(docs: DataFrame, net: Network | None = None, text_col: str = "text") -> DataFrame:
     """docs with each finding in the text replaced (overlapping ones once); other columns and null texts stay."""
+    small_batches(docs)
     net = net or default_network()
     names = docs.columns
     at = names.index(text_col)

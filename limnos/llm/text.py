@@ -15,6 +15,9 @@ import pyarrow.compute as pc
 
 #: Bytes of text per block.
 BLOCK_BYTES = 1 << 20
+#: Bytes of an Arrow batch on its way to Python, and the setting's default.
+BATCH_BYTES = "4m"
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -65,6 +68,17 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = to
 
 
+def small_batches(df) -> None:
+    """Let the session send smaller batches to Python, unless it has a size of its own.
+
+    Rows of text are large: batches of the default size take several times it in the JVM's buffers and again
+    in each worker.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING).rstrip("b") == _BATCH_DEFAULT:
+        conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null text is an empty one."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
