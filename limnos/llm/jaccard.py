@@ -419,19 +419,30 @@ class JaccardJoin:
         return lists.unionByName(small)
 
     def _picked(self, pairs: DataFrame) -> DataFrame:
-        """(cid, pick) of the classes in pairs, staged: a document to read for each."""
+        """(cid, pick, copies) of the classes in pairs, staged: a document to read for each, and its rows."""
         cids = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-        return stage(cids.join(self.classes.select("cid", "pick"), "cid"), "picks")
+        ids = self.rows.filter("n > 0").groupBy("cid", "pick").agg(F.count("*").alias("copies"))
+        return stage(cids.join(ids.groupBy("cid").agg(F.min("pick").alias("pick"), F.min_by("copies", "pick").alias("copies")), "cid"), "picks")
 
-    def _of(self, docs: DataFrame, picks: DataFrame) -> DataFrame:
-        """The rows of docs (with their pick) that are picked; ids beyond a bound are joined by shuffling."""
-        ids = picks.select("pick").distinct()
-        return docs.join(F.broadcast(ids) if picks.count() <= BROADCAST_IDS else ids, "pick", "left_semi")
+    def _of(self, docs: DataFrame, picks: DataFrame, keys: list[str]) -> DataFrame:
+        """The rows of docs whose keys are picked; picks beyond a bound are joined by shuffling."""
+        ids = picks.select(*keys).distinct()
+        return docs.join(F.broadcast(ids) if picks.count() <= BROADCAST_IDS else ids, keys, "left_semi")
+
+    def _one_of_each(self, rows: DataFrame, picks: DataFrame, columns: list[str]) -> DataFrame:
+        """cid and columns of the classes picked, from rows with cid and pick: a row for each class.
+
+        Where every pick is one row the rows are left as they come, which lets Spark split the pairs of a class
+        that leads a large group when they are joined; repeated rows are brought together first.
+        """
+        rows = self._of(rows, picks, ["cid", "pick"])
+        if picks.filter("copies > 1").limit(1).count():
+            rows = rows.groupBy("cid").agg(*[F.first(c).alias(c) for c in columns])
+        return rows.select("cid", *columns)
 
     def _whole_sets(self, picks: DataFrame) -> DataFrame:
         """(cid, set) of the classes picked: a second reading of one document of each."""
-        sets = self._sets(prefix=False, only=self._of(self.texts, picks)).join(picks.select("cid"), "cid", "left_semi")
-        return sets.groupBy("cid").agg(F.first("set").alias("set"))
+        return self._one_of_each(self._sets(prefix=False, only=self._of(self.texts, picks, ["pick"])), picks, ["set"])
 
     def _likely(self, pairs: DataFrame, picks: DataFrame) -> DataFrame:
         """The pairs whose sets have as many keys in common among the fronts of their sets as a link asks for.
@@ -439,8 +450,8 @@ class JaccardJoin:
         Of an overlap of o, at most need - 1 are behind the front of the set whose front ends first.
         """
         t = self.threshold
-        fronts = self._of(self.rows, picks).join(picks.select("cid"), "cid", "left_semi").groupBy("cid").agg(F.first("n").alias("n"), F.first("prefix").alias("front"))
-        fronts = fronts.select("cid", "n", F.slice("front", F.lit(1), (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")).alias("front"))
+        fronts = self._one_of_each(self.rows, picks, ["n", "prefix"])
+        fronts = fronts.select("cid", "n", F.slice("prefix", F.lit(1), (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")).alias("front"))
         side = lambda x: fronts.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("front").alias(f"f{x}"))
         both = F.size(F.array_intersect("fa", "fb"))
         asked = F.ceil((F.col("na") + F.col("nb")) * t / (100 + t)) - F.ceil(F.greatest("na", "nb") * t / 100) + 1

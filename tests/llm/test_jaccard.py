@@ -134,3 +134,11 @@ def test_the_order_of_shingles_does_not_matter(docs, monkeypatch):
         monkeypatch.setattr(jaccard, "COMMON", most)
         join = jaccard.JaccardJoin(docs(texts), scan_cost=cost)
         assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in join.groups().collect()} == want
+
+
+def test_repeated_rows_of_near_copies(docs):
+    texts = near_copies(29, 20, 6, 2)
+    want, _ = brute(list(enumerate(texts, 1)))
+    df = docs(texts)
+    rows = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(df.union(df)).collect()]
+    assert sorted(rows) == sorted((i, *x) for i, x in want.items() for _ in range(2))
