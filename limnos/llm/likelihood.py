@@ -142,10 +142,9 @@ def _symbols(batches, known: Known) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(texts: DataFrame, known: Known, given, share: int = SHARE, warm: int = WARM, task_tokens: int = TASK_TOKENS) -> Gru:
-    """Weights from the training texts (column text). given: known, broadcast."""
+    """Weights from the training texts (column text, and x, a hash that picks the samples). given: known, broadcast."""
     net = Gru.new(known.head_counts, known.tail_counts, known.end)
-    rows = texts.filter(F.col("text").isNotNull()).withColumn("x", F.xxhash64("text"))
-    first = rows.filter(F.length("text") <= WARM_CHARS).orderBy("x", "text").limit(warm).select("text").toArrow()
+    first = texts.filter(F.length("text") <= WARM_CHARS).orderBy("x", "text").limit(warm).select("text").toArrow()
     net = net.train(*_symbols(iter(first.to_batches()), known), epochs=2)
     start = texts.sparkSession.sparkContext.broadcast(net)
     tasks = max(1, -(-known.n // (share * task_tokens)))
@@ -156,7 +155,7 @@ def train(texts: DataFrame, known: Known, given, share: int = SHARE, warm: int =
             got = start.value.train(symbols, begins, rate=0.08)
             yield pa.RecordBatch.from_arrays([pa.array([len(symbols)]), pa.array([got.flat()])], names=["n", "w"])
 
-    part = rows.filter(F.pmod(F.col("x"), F.lit(share)) == 0).select("text").repartition(tasks)
+    part = texts.filter(F.pmod(F.col("x"), F.lit(share)) == 0).select("text").repartition(tasks)
     each = part.mapInArrow(run, "n long, w array<float>").select("n", F.posexplode("w").alias("i", "w"))
     mean = each.groupBy("i").agg((F.sum(F.col("w").cast("double") * F.col("n")) / F.sum("n")).alias("w")).toArrow()
     if mean.num_rows:
@@ -176,8 +175,9 @@ def likelihoods(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     small_batches(docs)
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias(id_col), training.alias("__train"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    learned = rows.filter("__train").select("text")
-    counts = stage(count_tokens(learned), "counts")
+    # the hash is of the id too, so that copies of one text are sampled like other rows
+    learned = rows.filter("__train").select("text", F.xxhash64(F.col(f"`{id_col}`"), "text").alias("x"))
+    counts = stage(count_tokens(learned.select("text")), "counts")
     known = Known.of(counts, known_words)
     given = spark.sparkContext.broadcast(known)
     net = spark.sparkContext.broadcast(train(learned, known, given, share))
