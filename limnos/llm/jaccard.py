@@ -534,17 +534,22 @@ def op6(spark, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """docs with one row of each component: that with the smallest id, and one of rows with the same id and text.
+    """docs with one row of each component: that with the smallest id (null ids come last), of such with the least hash of the text.
 
-    Documents without words all stay, but for rows that are repeated.
+    Documents without words all stay, but for rows that repeat an id with its text.
     """
-    join = JaccardJoin(docs, id_col, text_col, threshold, size)
-    groups = stage(join.groups().withColumn("pick", F.xxhash64("id")), "groups")
-    # ids to look at: those that another one stands for, and those that come more than once
-    touched = groups.groupBy("pick").agg(F.max((~F.col("id").eqNullSafe(F.col("component_id"))).cast("int")).alias("gone"), (F.count("*") > 1).alias("again"))
-    touched = stage(touched.filter((F.col("gone") == 1) | F.col("again")), "touched").withColumnsRenamed({c: f"__{c}" for c in ("pick", "gone", "again")})
-    rows = docs.withColumn("__pick", F.xxhash64(F.col(f"`{id_col}`")))
-    out = bounded_join(rows, touched, ["__pick"], "left", most=BROADCAST_IDS).filter(F.coalesce("__gone", F.lit(0)) == 0)
+    # a row is decided by its id and its text, as an id may be null or repeated with another text
+    given, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
+    key = F.struct(given.isNull().alias("missing"), given.alias("id"), F.xxhash64(text).alias("text"))
+    join = JaccardJoin(docs.select(key.alias("key"), text.alias("text")), "key", "text", threshold, size)
+    pick = lambda missing, x: F.xxhash64(missing, x)
+    gone = (~F.col("id").eqNullSafe(F.col("component_id"))).cast("int").alias("gone")
+    groups = stage(join.groups().select(pick(F.col("id.missing"), F.col("id.id")).alias("pick"), F.col("id.text").alias("text"), gone), "groups")
+    # rows to look at: those that another one stands for, and those that come more than once
+    touched = groups.groupBy("pick", "text").agg(F.max("gone").alias("gone"), (F.count("*") > 1).alias("again"))
+    touched = stage(touched.filter((F.col("gone") == 1) | F.col("again")), "touched").withColumnsRenamed({c: f"__{c}" for c in ("pick", "text", "gone", "again")})
+    rows = docs.withColumns({"__pick": pick(given.isNull(), given), "__text": F.xxhash64(text)})
+    out = bounded_join(rows, touched, ["__pick", "__text"], "left", most=BROADCAST_IDS).filter(F.coalesce("__gone", F.lit(0)) == 0)
     once = out.filter(~F.coalesce("__again", F.lit(False))).select(*docs.columns)
-    again = out.filter("__again").withColumn("__text", F.xxhash64(F.col(f"`{text_col}`"))).dropDuplicates(["__pick", "__text"]).select(*docs.columns)
+    again = out.filter("__again").dropDuplicates(["__pick", "__text"]).select(*docs.columns)
     return once.unionByName(again)

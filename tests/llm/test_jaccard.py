@@ -142,3 +142,13 @@ def test_repeated_rows_of_near_copies(docs):
     df = docs(texts)
     rows = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(df.union(df)).collect()]
     assert sorted(rows) == sorted((i, *x) for i, x in want.items() for _ in range(2))
+
+
+def test_rows_are_picked_by_id_and_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    clean = [" ".join(f"{x}{i}" for i in range(40)) for x in "defgh"]
+    rows = [(1, a), (None, a + " more"), (None, clean[0]), (None, clean[1]), (None, b), (None, b + " more"), (5, c + " more"), (5, clean[2]), (2, c), (7, clean[3]), (7, clean[3]), (7, clean[4]), (None, None), (None, None), (8, ""), (9, "")]
+    want = [(1, a), (None, clean[0]), (None, clean[1]), (5, clean[2]), (2, c), (7, clean[3]), (7, clean[4]), (None, None), (8, ""), (9, "")]
+    got = [(r["doc_id"], r["text"]) for r in jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(x for x in map(repr, got) if "b0" not in x) == sorted(map(repr, want))
+    assert len([t for _, t in got if t and "b0" in t]) == 1
