@@ -49,9 +49,10 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", docs_
     small_batches(docs)
     text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string")
     rows = docs.filter(lang.isNotNull() & text.isNotNull())
-    # a share of each language that holds some four times the sample, so that no language is gathered in one task
-    share = rows.groupBy(lang.alias("lang")).agg(F.least(F.lit(1.0), F.lit(4.0 * docs_per_language) / F.count("*")).alias("share"))
     rows = rows.select(lang.alias("lang"), text.alias("text"), F.xxhash64(text).alias("h"))
+    # a share of each language's different texts that holds some four times the sample, so that no language is gathered
+    # in one task; copies of a text come or go together, so rows don't count
+    share = rows.select("lang", "h").distinct().groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * docs_per_language) / F.count("*")).alias("share"))
     rows = bounded_join(rows, stage(share, "languages"), ["lang"], "inner").filter(F.pmod(F.col("h"), F.lit(1 << 30)) <= F.col("share") * (1 << 30))
     rows = rows.groupBy("lang", "h").agg(F.first("text").alias("text"))
     rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= docs_per_language)

@@ -46,6 +46,12 @@ def test_dictionaries_come_from_training_text_only(docs):
     assert language.learn(df.limit(0)) == {}
 
 
+def test_copies_do_not_empty_a_dictionary(spark):
+    rows = [("x", "all the same text")] * 3000 + [("x", f"other {w}") for w in ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine")]
+    got = language.learn(spark.createDataFrame(rows, "lang string, text string"), docs_per_language=4)
+    assert got["x"].count(b"other") + got["x"].count(b"all the same") == 4
+
+
 # quality
 
 
