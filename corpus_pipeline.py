@@ -35,11 +35,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
+    """Token ids of each document, and the digest of the text that they decode to."""
     import public_tokenizers
 
-    out = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("lang", "source"), decoded=False)
-    return out.withColumn("n_tokens", F.size("ids").cast("long"))
+    out = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("lang", "source"))
+    return out.withColumns({"n_tokens": F.size("ids").cast("long"), "decoded_sha256": F.sha2(F.col("decoded").cast("binary"), 256)}).drop("decoded")
 
 
 STAGES = [

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from brute import base_secrets, redacted, taken
 from test_jaccard import brute as components
@@ -34,6 +36,13 @@ def test_stages_keep_the_columns(spark, sf):
         assert docs.dtypes == first.dtypes and docs.count() > 0
 
 
+def test_the_last_stage_decodes(spark, docs):
+    texts = ["Some  text, to go there and back.", "", None, "ünïcödé 😀"]
+    lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    got = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.encoding_stage(spark, docs(texts), "").collect()}
+    assert got == {i: hashlib.sha256(lib.decode(lib.encode(t or "")).encode()).hexdigest() for i, t in enumerate(texts, 1)}
+
+
 def test_it_is_registered():
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries if q.startswith("op")} and "pipeline" in queries
