@@ -6,8 +6,8 @@ belongs to one of the tail classes by its ending, and is drawn from its class by
 the probability of a symbol after all that came before in the document.
 
 Counts of the KNOWN most frequent words go to every task (24 bytes each); those of the rest are joined.
-Training starts from a bounded sample at the driver and goes on in tasks over a fixed share of the training
-documents, whose weights are averaged: the share's tokens, like the counts, grow with the corpus.
+Training starts from a bounded sample at the driver and goes on over all training documents in ROUNDS rounds:
+the tasks of a round start from one model, read that round's documents, and their weights are averaged.
 
 A word is known by 58 bits of a hash and its class.
 """
@@ -31,9 +31,10 @@ HEAD = GROUP * GROUPS
 KNOWN = 200_000
 #: Tokens counted, or scored, together in a task.
 CHUNK = 2_000_000
-#: One training document of SHARE trains the weights, in tasks of about TASK_TOKENS; WARM documents of
-#: WARM_CHARS at most start them.
-SHARE = 8
+#: One training document of SHARE trains the weights (1: all do), in ROUNDS rounds of tasks of about TASK_TOKENS;
+#: WARM documents of WARM_CHARS at most start them.
+SHARE = 1
+ROUNDS = 4
 TASK_TOKENS = 2_500_000
 WARM = 512
 WARM_CHARS = 50_000
@@ -141,27 +142,29 @@ def _symbols(batches, known: Known) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(held), np.concatenate(firsts)) if held else (np.zeros(0, np.int32), np.zeros(0, bool))
 
 
-def train(texts: DataFrame, known: Known, given, share: int = SHARE, warm: int = WARM, task_tokens: int = TASK_TOKENS) -> Gru:
-    """Weights from the training texts (column text, and x, a hash that picks the samples). given: known, broadcast."""
+def train(texts: DataFrame, known: Known, given, share: int = SHARE, warm: int = WARM, task_tokens: int = TASK_TOKENS, rounds: int = ROUNDS) -> Gru:
+    """Weights from the training texts (column text, and x, a hash that deals them to shares and rounds). given: known, broadcast."""
     net = Gru.new(known.head_counts, known.tail_counts, known.end)
     first = texts.filter(F.length("text") <= WARM_CHARS).orderBy("x", "text").limit(warm).select("text").toArrow()
     net = net.train(*_symbols(iter(first.to_batches()), known), epochs=2)
-    start = texts.sparkSession.sparkContext.broadcast(net)
-    tasks = max(1, -(-known.n // (share * task_tokens)))
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        symbols, begins = _symbols(batches, given.value)
-        if len(symbols):
-            got = start.value.train(symbols, begins, rate=0.08)
-            yield pa.RecordBatch.from_arrays([pa.array([len(symbols)]), pa.array([got.flat()])], names=["n", "w"])
-
-    part = texts.filter(F.pmod(F.col("x"), F.lit(share)) == 0).select("text").repartition(tasks)
-    each = part.mapInArrow(run, "n long, w array<float>").select("n", F.posexplode("w").alias("i", "w"))
-    mean = each.groupBy("i").agg((F.sum(F.col("w").cast("double") * F.col("n")) / F.sum("n")).alias("w")).toArrow()
-    if mean.num_rows:
-        flat = np.zeros(mean.num_rows)
-        flat[mean.column("i").to_numpy()] = mean.column("w").to_numpy()
-        net = net.with_flat(flat)
+    tasks = max(1, -(-known.n // (share * rounds * task_tokens)))
+    for turn in range(rounds):
+        start = texts.sparkSession.sparkContext.broadcast(net)
+
+        def run(batches, start=start) -> Iterator[pa.RecordBatch]:
+            symbols, begins = _symbols(batches, given.value)
+            if len(symbols):
+                got = start.value.train(symbols, begins, rate=0.08)
+                yield pa.RecordBatch.from_arrays([pa.array([len(symbols)]), pa.array([got.flat()])], names=["n", "w"])
+
+        part = texts.filter(F.pmod(F.col("x"), F.lit(share * rounds)) == share * turn).select("text").repartition(tasks)
+        each = part.mapInArrow(run, "n long, w array<float>").select("n", F.posexplode("w").alias("i", "w"))
+        mean = each.groupBy("i").agg((F.sum(F.col("w").cast("double") * F.col("n")) / F.sum("n")).alias("w")).toArrow()
+        if mean.num_rows:
+            flat = np.zeros(mean.num_rows)
+            flat[mean.column("i").to_numpy()] = mean.column("w").to_numpy()
+            net = net.with_flat(flat)
+        start.unpersist()
     return net
 
 

@@ -256,6 +256,20 @@ def test_scores_equal_brute_force(spark, sf):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_every_training_document_trains_the_weights(spark, monkeypatch):
+    turned = []
+    real = gru.Gru.with_flat
+    monkeypatch.setattr(gru.Gru, "with_flat", lambda self, flat: turned.append(1) or real(self, flat))
+    words = "one two three four five six seven".split()
+    make = lambda f: spark.createDataFrame([(i, " ".join(words if i % 8 == 0 else f(words)) + f" {i}") for i in range(40)], "x long, text string").coalesce(1)
+    docs = make(list)
+    known = likelihood.Known.of(likelihood.count_tokens(docs.select("text")))
+    given = spark.sparkContext.broadcast(known)
+    a, b = (likelihood.train(d, known, given, warm=1).flat() for d in (docs, make(lambda x: x[::-1])))
+    assert len(turned) > 2 and not np.allclose(a, b, atol=1e-4)
+
+
+
 # neighbours
 
 
