@@ -171,6 +171,19 @@ def test_license_lines_of_whole_documents(spark, sf):
         assert got[r["doc_id"]] == Counter({k: r["text"].count(m) for k, m in marks.items() if m in r["text"]})
 
 
+def test_templates_are_found_wherever_they_are_wrapped():
+    for name, text in licenses.TEMPLATES:
+        parts = text.split()
+        for i in range(1, len(parts)):
+            wrapped = "some words before\n# " + " ".join(parts[:i]) + "\n# " + " ".join(parts[i:]) + "\nand after"
+            assert [f[0] for f in licenses.scan(wrapped)] == [name]
+
+
+def test_no_cue_is_lost_to_tolerated_words():
+    for _, wording, _, most, _ in licenses.templates()[1]:
+        assert sum(any(c in w.encode() for c in licenses.CUES) for w in wording) > most
+
+
 def test_alignment():
     assert licenses.align("a b c d".split(), "x a b q c d y".split()) == (1, 1, 6, ["+q"])
     assert licenses.align("a b c".split(), "z a c".split()) == (1, 1, 3, ["-b"])
