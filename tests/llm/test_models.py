@@ -179,6 +179,12 @@ def test_templates_are_found_wherever_they_are_wrapped():
             assert [f[0] for f in licenses.scan(wrapped)] == [name]
 
 
+def test_all_licenses_of_a_line_are_found():
+    assert [f[0] for f in licenses.scan("This work is licensed under the GNU General Public License, version 3 and Released under the MIT License.")] == ["GPL-3.0", "MIT"]
+    line = " and some more words here ".join(t for _, t in licenses.TEMPLATES)
+    assert [f[0] for f in licenses.scan(line)] == [n for n, _ in licenses.TEMPLATES]
+
+
 def test_no_cue_is_lost_to_tolerated_words():
     for _, wording, _, most, _ in licenses.templates()[1]:
         assert sum(any(c in w.encode() for c in licenses.CUES) for w in wording) > most
