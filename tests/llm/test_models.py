@@ -185,6 +185,18 @@ def test_all_licenses_of_a_line_are_found():
     assert [f[0] for f in licenses.scan(line)] == [n for n, _ in licenses.TEMPLATES]
 
 
+def test_names_and_versions_tell_licenses_apart():
+    gpl = next(t for n, t in licenses.TEMPLATES if n == "GPL-3.0" and len(t) > 100)
+    names = lambda t: [f[0] for f in licenses.scan(t)]
+    assert names(gpl.replace("version 3", "version 2")) == ["GPL-2.0"] and names(gpl.replace("version 3", "version 1")) == []
+    assert names(gpl.replace("GNU General", "GNU Affero General")) == ["AGPL-3.0"]
+    assert names(gpl.replace("GNU General", "GNU Lesser General").replace("program", "library")) == ["LGPL-3.0"]
+    assert names(gpl.replace("GNU General", "GNU Lesser General").replace("program", "library").replace("version 3", "version 2.1")) == ["LGPL-2.1"]
+    cc = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License"
+    assert names(cc.format("NoDerivatives")) == ["CC-BY-ND-4.0"] and names(cc.format("Sampling")) == []
+    assert names(gpl.replace("program", "code")) == ["GPL-3.0"]
+
+
 def test_no_cue_is_lost_to_tolerated_words():
     for _, wording, _, most, _ in licenses.templates()[1]:
         assert sum(any(c in w.encode() for c in licenses.CUES) for w in wording) > most
