@@ -1,8 +1,8 @@
 """Secret scans: base patterns, and a character network over every candidate.
 
-The base patterns find assignments, access keys and hex strings. Every other run of key-like characters that
-holds a digit is a candidate too; a convolutional network reads each candidate with the characters around it,
-and those above its threshold are secrets as well. The network is trained here on labelled findings, its
+The base patterns find assignments, access keys and hex strings. Every other run of key-like characters, and what
+those leave of a run, is a candidate too; a convolutional network reads each candidate with the characters around
+it, a long one in overlapping parts, and those above its threshold are secrets as well. The network is trained here on labelled findings, its
 scores are calibrated on findings held out from training, and the threshold is the highest that keeps the
 asked recall on them.
 """
@@ -28,7 +28,7 @@ KINDS = ("assign", "access", "hex", "model")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
-#: A candidate of the network: so many key characters, with a digit.
+#: A candidate of the network: so many key characters.
 LEAST_CANDIDATE = 16
 REDACTED = "[secret]"
 
@@ -48,12 +48,13 @@ KEY = _among(string.ascii_letters + string.digits + "+/_=-")
 LEFT, MIDDLE, RIGHT = 24, 48, 8
 WIDTH, FILTERS, EMBED, HIDDEN = 5, 24, 12, 16
 SIZE = LEFT + MIDDLE + RIGHT
+STEP = 16
 
 
 def windows(data: np.ndarray, spans: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """The bytes around each span (start, end), from its own document (lo..hi), as SIZE classes; 0 is outside.
 
-    A span longer than MIDDLE shows its front; bytes beyond ASCII share a class.
+    A span longer than MIDDLE shows its front (slid() gives its other parts); bytes beyond ASCII share a class.
     """
     n = len(spans)
     out = np.zeros((n, SIZE), np.uint8)
@@ -69,6 +70,16 @@ def windows(data: np.ndarray, spans: np.ndarray, lo: np.ndarray, hi: np.ndarray)
     return out
 
 
+def slid(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(span, what is shown of it): each span, and of those longer than MIDDLE all parts of that size, STEP apart."""
+    which, shown = [np.arange(len(spans))], [spans]
+    for i in np.flatnonzero(spans[:, 1] - spans[:, 0] > MIDDLE).tolist():
+        at = np.append(np.arange(spans[i, 0] + STEP, spans[i, 1] - MIDDLE, STEP), spans[i, 1] - MIDDLE)
+        which.append(np.full(len(at), i))
+        shown.append(np.stack([at, at + MIDDLE], axis=1))
+    return np.concatenate(which), np.concatenate(shown)
+
+
 @dataclass
 class Network:
     """Embedding, one convolution with ReLU, maxima over context and over the candidate, two dense layers."""
@@ -164,19 +175,25 @@ def fit(x: np.ndarray, y: np.ndarray, recall: float = 0.99, epochs: int = 6, bat
     return net
 
 
-def labelled_findings(n: int = 4000, seed: int = 9) -> list[tuple[str, int, int, int]]:
+def labelled_findings(n: int = 16000, seed: int = 9) -> list[tuple[str, int, int, int]]:
     """(text, start, end, label) of generated findings, half of them secrets; used where no own ones are given."""
     r = random.Random(seed)
     letters = string.ascii_lowercase
     word = lambda a=3, b=9: "".join(r.choice(letters) for _ in range(r.randint(a, b)))
     pick = lambda chars, a, b: "".join(r.choice(chars) for _ in range(r.randint(a, b)))
     mixed = string.ascii_letters + string.digits
+    onsets, codas = ("", "b", "br", "c", "ch", "d", "f", "g", "gr", "h", "k", "l", "m", "n", "p", "pr", "qu", "r", "s", "sch", "sp", "st", "t", "tr", "v", "w", "z"), ("", "", "", "l", "n", "ns", "r", "rt", "rtz", "s", "ch", "t", "nt", "st", "ng")
+    case = lambda x: r.choice((str.lower, str.capitalize, str.upper, str.upper))(x)
+    spoken = lambda a=2, b=6: case("".join(r.choice(onsets) + r.choice(("a", "e", "i", "o", "u", "ie", "ea", "ou")) + r.choice(codas) for _ in range(r.randint(a, b))))
     secrets = (
+        lambda: pick(mixed, 10, 15), lambda: pick(mixed, 8, 11) + r.choice(string.digits) + r.choice(string.ascii_uppercase), lambda: pick(string.ascii_letters, 16, 44),
         lambda: pick("0123456789abcdef", 24, 64), lambda: pick(mixed, 20, 44), lambda: pick(mixed + "+/", 28, 64) + "=",
         lambda: r.choice(("sk-", "sk_live_", "ghp_", "xoxb-", "glpat-")) + pick(mixed, 20, 40), lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16),
         lambda: "eyJ" + pick(mixed + "_-", 30, 60),
     )
     benign = (
+        *[spoken] * 10, lambda: spoken(3, 7), lambda: r.choice("-/_").join(spoken(1, 4) for _ in range(r.randint(2, 6))), lambda: spoken(2, 4) + str(r.randint(1, 2030)), lambda: spoken(1, 3) + "=" + spoken(1, 3),
+        lambda: "".join(spoken(1, 2).capitalize() for _ in range(r.randint(2, 4))), lambda: r.choice("-=_") * r.randint(8, 60), lambda: pick(string.digits, 8, 14),
         lambda: "-".join(word() for _ in range(4)) + "-" + str(r.randint(1, 99)), lambda: word() + "_" + word() + "_" + word() + str(r.randint(0, 9)),
         lambda: f"20{r.randint(10, 29)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}T{r.randint(0, 23):02d}-{r.randint(0, 59):02d}-00",
         lambda: "/".join([word(), word(), word() + str(r.randint(1, 9)), word()]), lambda: "-".join(pick(string.digits, 3, 4) for _ in range(5)),
@@ -233,18 +250,14 @@ def scan(texts: pa.Array, net: Network | None) -> dict[int, list[tuple[int, int,
     long = ends - starts >= LEAST["hex"]
     starts, ends = starts[long], ends[long]
     found += list(zip(row_of(starts).tolist(), starts.tolist(), [2] * len(starts), ends.tolist(), strict=True))
-    if net is not None:
+    if net is not None:  # what base findings leave of each run
         covered = np.zeros(len(data) + 1, np.int32)
         for _, a, _, b in found:
             covered[a] += 1
             covered[b] -= 1
-        covered = np.concatenate([[0], np.cumsum(covered[:-1] != 0)]) if not found else np.concatenate([[0], np.cumsum(np.cumsum(covered[:-1]) > 0)])
-        digits = np.concatenate([[0], np.cumsum(DIGIT[data])])
-        starts, ends = runs(KEY[data], offsets)
+        starts, ends = runs(KEY[data] & (np.cumsum(covered[:-1]) == 0), offsets)
         long = ends - starts >= LEAST_CANDIDATE
         starts, ends = starts[long], ends[long]
-        fresh = (digits[ends] > digits[starts]) & (covered[ends] == covered[starts])
-        starts, ends = starts[fresh], ends[fresh]
         found += list(zip(row_of(starts).tolist(), starts.tolist(), [3] * len(starts), ends.tolist(), strict=True))
     if not found:
         return {}
@@ -252,7 +265,10 @@ def scan(texts: pa.Array, net: Network | None) -> dict[int, list[tuple[int, int,
     spans = np.array(found, np.int64)
     scores = np.full(len(spans), np.nan)
     if net is not None:
-        scores = net.probability(windows(data, spans[:, [1, 3]], offsets[spans[:, 0]], offsets[spans[:, 0] + 1]))
+        which, shown = slid(spans[:, [1, 3]])
+        rows = spans[which, 0]
+        scores = np.zeros(len(spans))
+        np.maximum.at(scores, which, net.probability(windows(data, shown, offsets[rows], offsets[rows + 1])))
     points = code_points(data)
     first = points[offsets[spans[:, 0]]]
     out: dict[int, list[tuple[int, int, int, float]]] = {}

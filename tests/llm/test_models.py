@@ -121,6 +121,22 @@ def test_the_network_finds_unseen_secrets_and_leaves_other_text():
     assert [text[a:b] for a, _, b, _ in found] == ["ghp_a8Kd93jfL20sQpzX7wN4vB6tRm1YcE5u"]
 
 
+def test_recall_through_the_scan():
+    r, net = np.random.default_rng(7), secrets.default_network()
+    pick = lambda chars, n: "".join(r.choice(list(chars), n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    path = "some/long/path/to/a/place/that/goes/on/and/on/for/ever/"
+    hit = np.zeros(3)
+    for _ in range(60):
+        key, alone = "sk_live_" + pick(letters + "0123456789", 30), pick(letters, 24)
+        made = ((f"see build/{pick('0123456789abcdef', 40)}/{key} now", key), (f"see {path}{key} now", key), (f'the key = "{alone}" now', alone))
+        for i, (text, x) in enumerate(made):
+            at = text.index(x)
+            hit[i] += any(a <= at and b >= at + len(x) for a, _, b, _ in secrets.scan(pa.array([text]), net).get(0, ()))
+    assert (hit / 60 > 0.85).all()
+    assert secrets.scan(pa.array([f"see {path} and some ordinary words, internationalization too"]), net) == {}
+
+
 def test_the_network_learns_by_its_gradient():
     net, r = secrets.Network.new(2), np.random.default_rng(3)
     x, y = r.integers(0, 129, (6, secrets.SIZE)).astype(np.uint8), np.array([0, 1, 0, 1, 1, 0], np.float32)
