@@ -19,16 +19,20 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 from limnos.llm.text import blocks, small_batches
 from limnos.plans.staging import bounded_join, stage
 
-#: Training documents of a language, and bytes that each gives to the dictionary at most.
-DOCS_PER_LANGUAGE = 96
-BYTES_PER_DOC = 4096
+#: Training documents of a language, characters from the middle of each that are gathered and bytes of these that go
+#: to the dictionary at most; and bytes of a dictionary and of all of them.
+DOCS_PER_LANGUAGE = 160
+CHARS_PER_DOC = 4096
+BYTES_PER_DOC = 2048
 DICTIONARY_BYTES = 98_304
+ALL_BYTES = 64 << 20
 #: Bytes of a document compressed at once.
 PIECE = 2048
 #: The runner-up must be larger by this share, or the document is rejected.
 MARGIN = 0.002
 #: Bytes saved that multiply the odds of a language by e.
 BYTES_PER_NAT = 12.0
+#: Letters, and some other signs that count as numbers.
 LETTER = re.compile(r"[^\W\d_]")
 NOISE = bytes(b for b in range(128) if not (chr(b).isalpha() or b in b" '"))
 UNDETERMINED = "und"
@@ -39,17 +43,28 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of the Unicode category L."""
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def letters(text: str) -> bytes:
     """Lower-cased text without ASCII digits, controls and punctuation."""
     return text.lower().encode().translate(None, NOISE)
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE) -> dict[str, bytes]:
-    """Dictionaries from a bounded sample: `docs_per_language` documents of each language, in the order of a hash of their text."""
+    """A dictionary of each language from a bounded sample: the middles of its different texts in the order of a hash.
+
+    At most `docs_per_language` texts of a language are gathered, CHARS_PER_DOC characters of each, and their letters
+    fill its dictionary until it has DICTIONARY_BYTES, or its share of ALL_BYTES where there are very many languages.
+    Rows without a language, a text or a letter teach nothing; copies of a text count once.
+    """
     small_batches(docs)
     text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string")
     rows = docs.filter(lang.isNotNull() & text.isNotNull())
-    rows = rows.select(lang.alias("lang"), text.alias("text"), F.xxhash64(text).alias("h"))
+    start = F.greatest(F.lit(1), F.floor((F.length(text) - CHARS_PER_DOC) / 2).cast("int") + 1)
+    rows = rows.select(lang.alias("lang"), F.substring(text, start, F.lit(CHARS_PER_DOC)).alias("text"), F.xxhash64(text).alias("h"))
     # a share of each language's different texts that holds some four times the sample, so that no language is gathered
     # in one task; copies of a text come or go together, so rows don't count
     share = rows.select("lang", "h").distinct().groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * docs_per_language) / F.count("*")).alias("share"))
@@ -58,10 +73,9 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", docs_
     rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("n") <= docs_per_language)
     found: dict[str, list[bytes]] = {}
     for r in rows.orderBy("lang", "n").collect():
-        clean = letters(r["text"])
-        at = max(0, (len(clean) - BYTES_PER_DOC) // 2)
-        found.setdefault(r["lang"], []).append(clean[at : at + BYTES_PER_DOC])
-    return {k: b" ".join(v)[-DICTIONARY_BYTES:] for k, v in found.items() if any(v)}
+        found.setdefault(r["lang"], []).append(letters(r["text"])[:BYTES_PER_DOC])
+    most = min(DICTIONARY_BYTES, ALL_BYTES // max(1, len(found)))
+    return {k: b" ".join(v)[:most] for k, v in found.items() if any(v)}
 
 
 @lru_cache(maxsize=4)
@@ -82,7 +96,7 @@ def compressors(dictionaries: tuple[tuple[str, bytes], ...]):
 
 def classify(text: str | None, models, margin: float = MARGIN) -> tuple[str, float, bool]:
     """(language, score, rejected) of one text."""
-    if not models or not text or not LETTER.search(text):
+    if not models or not text or not has_letter(text):
         return UNDETERMINED, 0.0, True
     clean = letters(text)
     parts = [clean[i : i + PIECE] for i in range(0, len(clean), PIECE)] or [b""]
@@ -97,20 +111,25 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     """lang_pred, score and rejected for each row of docs, beside its id and the columns in `keep`.
 
     A text that is null or has no letter is `und` with score 0 and rejected, as is every text when no language
-    was learned; ties go to the first language by name; repeated rows get equal results.
+    was learned; ties go to the first language by name; repeated rows get equal results; a very long text is
+    compressed piece by piece and counts as a whole; no rows give no rows. Columns that aren't kept may have any
+    name; a kept one with the name of a result is an error.
     """
     small_batches(docs)
-    fields = [docs.schema[id_col], *[docs.schema[c] for c in keep if c not in (id_col, text_col)]]
-    source = docs.select(*[F.col(f"`{f.name}`") for f in fields], F.col(f"`{text_col}`").cast("string").alias("__text"))
-    schema = StructType([*fields, *([StructField(text_col, StringType())] if text_col in keep else []), StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())])
+    kept = [id_col, *[c for c in keep if c not in (id_col, text_col)]]
+    fields = [*[docs.schema[c] for c in kept], *([StructField(text_col, StringType())] if text_col in keep else [])]
+    schema = StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())])
+    if len({n.lower() for n in schema.names}) < len(schema.names):
+        raise ValueError(f"a kept column has the name of a result: {schema.names}")
+    source = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{text_col}`").cast("string").alias("text"))
     frozen = tuple(sorted(dictionaries.items()))
 
     def run(batches):
         models = compressors(frozen)
-        for part in blocks(batches, "__text"):
+        for part in blocks(batches, "text"):
             texts = part.column(part.num_columns - 1)
             got = [classify(t, models, margin) for t in texts.to_pylist()]
-            columns = [part.column(i) for i in range(part.num_columns - 1)] + ([texts] if text_col in keep else [])
+            columns = part.columns[: len(fields)]  # the text is the last column, and the last field if it is kept
             yield pa.RecordBatch.from_arrays([*columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())], names=schema.names)
 
     return source.mapInArrow(run, schema)
