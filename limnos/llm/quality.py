@@ -149,7 +149,8 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "d
             )
 
     schema = StructType([rows.schema["id"], StructField("label", DoubleType()), StructField("at", BinaryType()), StructField("n", BinaryType())])
-    out = rows.mapInArrow(run, schema).dropDuplicates(["id"]).orderBy("id").collect()
+    # of the texts of a repeated id the least one by its features, so that a rerun learns the same
+    out = rows.mapInArrow(run, schema).groupBy("id", "label").agg(F.min(F.struct("at", "n")).alias("x")).select("id", "label", "x.*").orderBy("id").collect()
     counts = np.zeros((len(out), FEATURES), np.float32)
     for i, r in enumerate(out):
         counts[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["n"], np.float32)
@@ -161,7 +162,8 @@ def score(docs: DataFrame, voters: Voters, id_col: str = "doc_id", text_col: str
 
     A null or empty text has the sample's share of label 1, and so has every text when nothing was labelled
     (0.5 then); repeated rows get equal scores up to rounding; equal cosines at the last place are cut as they
-    come from the sample's order.
+    come from the sample's order; a very long text is a block of its own; other columns are left out, whatever
+    their names; no rows give no rows.
     """
     small_batches(docs)
     given = docs.sparkSession.sparkContext.broadcast(voters)
