@@ -1,8 +1,9 @@
 """Secret scans: base patterns, and a character network over every candidate.
 
-The base patterns find assignments, access keys and hex strings. Every other run of key-like characters, and what
-those leave of a run, is a candidate too; a convolutional network reads each candidate with the characters around
-it, a long one in overlapping parts, and those above its threshold are secrets as well. The network is trained here on labelled findings, its
+The base patterns find assignments, access keys and hex strings. Every other run of key-like characters is a candidate
+too, and so is what those leave of a run and the whole word that a hex string or an access key is a part of; a
+convolutional network reads each candidate with the characters around it, a long one in overlapping parts, and those
+above its threshold are secrets as well. The network is trained here on labelled findings, its
 scores are calibrated on findings held out from training, and the threshold is the highest that keeps the
 asked recall on them.
 """
@@ -42,6 +43,8 @@ def _among(chars: str) -> np.ndarray:
 HEX = _among("0123456789abcdef")
 DIGIT = _among(string.digits)
 KEY = _among(string.ascii_letters + string.digits + "+/_=-")
+#: Characters of one word of a key; the others of KEY also part paths and assignments.
+WORD = _among(string.ascii_letters + string.digits + "+_-")
 
 # ---- the network -----------------------------------------------------------------------------------------
 
@@ -231,6 +234,30 @@ def default_network() -> Network:
 # ---- the scan --------------------------------------------------------------------------------------------
 
 
+def _candidates(data: np.ndarray, offsets: np.ndarray, found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
+    """(row, start, end): runs that base findings leave, and whole words that hex strings and access keys are parts of."""
+
+    def inside(spans) -> np.ndarray:
+        edges = np.zeros(len(data) + 1, np.int32)
+        for _, a, _, b in spans:
+            edges[a] += 1
+            edges[b] -= 1
+        return np.cumsum(edges[:-1]) > 0
+
+    base = inside(found)
+    starts, ends = runs(KEY[data] & ~base, offsets)
+    long = ends - starts >= LEAST_CANDIDATE
+    spans = [np.stack([starts[long], ends[long]], axis=1)]
+    if found:
+        starts, ends = runs(WORD[data], offsets)
+        covered, touched = (np.append(0, np.cumsum(x)) for x in (base, inside([f for f in found if f[2]])))
+        some = (touched[ends] > touched[starts]) & (covered[ends] - covered[starts] < ends - starts) & (ends - starts >= LEAST_CANDIDATE)
+        spans.append(np.stack([starts[some], ends[some]], axis=1))
+    every = np.concatenate(spans)
+    rows = np.searchsorted(offsets, every[:, 0], "right") - 1
+    return list(zip(rows.tolist(), *every.T.tolist(), strict=True))
+
+
 def scan(texts: pa.Array, net: Network | None) -> dict[int, list[tuple[int, int, int, float]]]:
     """Findings of a block: row -> (start, kind, end, probability) in code points, by start and kind."""
     data, offsets = text_bytes(texts)
@@ -250,18 +277,11 @@ def scan(texts: pa.Array, net: Network | None) -> dict[int, list[tuple[int, int,
     long = ends - starts >= LEAST["hex"]
     starts, ends = starts[long], ends[long]
     found += list(zip(row_of(starts).tolist(), starts.tolist(), [2] * len(starts), ends.tolist(), strict=True))
-    if net is not None:  # what base findings leave of each run
-        covered = np.zeros(len(data) + 1, np.int32)
-        for _, a, _, b in found:
-            covered[a] += 1
-            covered[b] -= 1
-        starts, ends = runs(KEY[data] & (np.cumsum(covered[:-1]) == 0), offsets)
-        long = ends - starts >= LEAST_CANDIDATE
-        starts, ends = starts[long], ends[long]
-        found += list(zip(row_of(starts).tolist(), starts.tolist(), [3] * len(starts), ends.tolist(), strict=True))
+    if net is not None:
+        found += [(row, a, 3, b) for row, a, b in _candidates(data, offsets, found)]
     if not found:
         return {}
-    found.sort()
+    found.sort(key=lambda x: (x[0], x[1], x[2], -x[3]))
     spans = np.array(found, np.int64)
     scores = np.full(len(spans), np.nan)
     if net is not None:
@@ -272,8 +292,13 @@ def scan(texts: pa.Array, net: Network | None) -> dict[int, list[tuple[int, int,
     points = code_points(data)
     first = points[offsets[spans[:, 0]]]
     out: dict[int, list[tuple[int, int, int, float]]] = {}
+    whole: dict[int, int] = {}  # row -> end of its last word or run found
     for row, a, kind, b, p in zip(spans[:, 0].tolist(), (points[spans[:, 1]] - first).tolist(), spans[:, 2].tolist(), (points[spans[:, 3]] - first).tolist(), scores.tolist(), strict=True):
         if kind < 3 or p >= net.threshold:
+            if kind == 3:
+                if b <= whole.get(row, 0):
+                    continue  # a part of a word that is found as a whole
+                whole[row] = b
             out.setdefault(row, []).append((a, kind, b, p))
     return out
 
@@ -282,7 +307,8 @@ def find_secrets(docs: DataFrame, net: Network | None = None, id_col: str = "doc
     """The id and findings (kind, start, end, probability) of each row of docs.
 
     A null or empty text has none; base findings stay whatever the network says of them; repeated rows get
-    equal findings; places count code points and the end is exclusive.
+    equal findings; places count code points and the end is exclusive; a very long text is scanned as a whole;
+    other columns are left out, whatever their names; no rows give no rows.
     """
     small_batches(docs)
     net = net or default_network()
