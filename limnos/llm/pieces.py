@@ -23,8 +23,10 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from limnos.llm.text import blocks, small_batches
 
 MARK = "▁"
-#: Segments in a worker's table before it starts anew.
-TABLE_SIZE = 300_000
+#: Segments in a worker's table, and their characters, before it starts anew; longer segments aren't kept in it.
+TABLE_SIZE = 250_000
+TABLE_CHARS = 4_000_000
+LONGEST_KEPT = 256
 #: Symbols up to which segments are merged together in arrays.
 SHORT = 40
 NEVER = np.iinfo(np.int32).max
@@ -67,6 +69,7 @@ class Pieces:
         self.packed = packed
         self.table: dict[str, str | bytes] = {}  # segment without its first mark -> its ids
         self.odd: dict[str, str] = {}  # those whose decoded text isn't their own
+        self.chars = 0  # of the table's segments
         self.id_text = [str(i) for i in range(n)]
 
     def _pairs(self) -> None:
@@ -221,9 +224,12 @@ class Pieces:
         fresh: set[str] = set()
         for s in split:
             fresh.update(s)
-        if len(self.table) > TABLE_SIZE:
-            self.table, self.odd = {}, {}
-        self._learn([k for k in fresh if k not in self.table])
+        if len(self.table) > TABLE_SIZE or self.chars > TABLE_CHARS:
+            self.table, self.odd, self.chars = {}, {}, 0
+        fresh = {k for k in fresh if k not in self.table}
+        long = [k for k in fresh if len(k) > LONGEST_KEPT]
+        self.chars += sum(map(len, fresh)) - sum(map(len, long))
+        self._learn(list(fresh))
         out = []
         for t, s in zip(texts, split, strict=True):
             ids = (b"" if self.packed else ",").join(map(self.table.__getitem__, s))
@@ -234,6 +240,9 @@ class Pieces:
             else:
                 text = " ".join(s)
             out.append((ids, text))
+        for k in long:
+            del self.table[k]
+            self.odd.pop(k, None)
         return out
 
     def encode(self, text: str | None) -> list[int]:
@@ -253,12 +262,14 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     """Ids (array of int) and decoded text of each row of docs, beside its id and the columns in `keep`.
 
     A null or empty text has no ids and decodes to the empty string; rows stay as they are, repeated or not;
-    other columns are left out.
+    other columns are left out; a kept one named ids or decoded is an error; a very long text is a block of its own.
     """
     small_batches(docs)
     first = [docs.schema[c] for c in (id_col, *keep)]
     schema = StructType([*first, StructField("ids", ArrayType(IntegerType())), *([StructField("decoded", StringType())] if decoded else [])])
-    source = docs.select(*[F.col(f"`{f.name}`") for f in first], F.col(f"`{text_col}`").cast("string").alias("__text"))
+    if len({n.lower() for n in schema.names}) < len(schema.names):
+        raise ValueError(f"a kept column has the name of a result: {schema.names}")
+    source = docs.select(*[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(first)], F.col(f"`{text_col}`").cast("string").alias("__text"))
 
     def run(batches):
         p = pieces(model_file, True)
