@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limnos.llm.text import LOWER, blocks, keys64, mix64, small_batches, span_hashes, text_bytes, word_spans
+from limnos.llm.text import LOWER, blocks, keys64, mix64, plain_names, small_batches, span_hashes, text_bytes, word_spans
 from limnos.plans.staging import bounded_join, drop_staged, stage
 
 THRESHOLD = 80
@@ -48,7 +48,7 @@ TURNS = 5
 #: Largest boundary that is considered.
 MOST_BOUNDARY = 64
 #: Rows up to which ids are broadcast to pick documents; beyond that they are joined by shuffling.
-BROADCAST_IDS = 2_000_000
+BROADCAST_IDS = 500_000
 
 _PLACE = keys64(SHINGLE, 31)
 _SHORT = np.uint64(0xD6E8FEB86659FD93)
@@ -354,7 +354,8 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, size: int = SHINGLE, scan_cost: float = SCAN_COST) -> None:
         small_batches(docs)
         self.threshold, self.size = threshold, size
-        self.texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{id_col}`")).alias("pick"), F.col(f"`{text_col}`").cast("string").alias("text"))
+        text = F.col(f"`{text_col}`").cast("string")
+        self.texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("pick"), text.alias("text"))
         common, level = common_shingles(self.texts.filter(F.col("text").isNotNull()), size)
         sc = docs.sparkSession.sparkContext
         self.common = sc.broadcast((common, level))  # COMMON rows at most
@@ -418,40 +419,26 @@ class JaccardJoin:
         small = small.select("key", "cid", "n", F.lit(0).cast("long").alias("place"), F.lit(True).alias("large"))
         return lists.unionByName(small)
 
-    def _picked(self, pairs: DataFrame) -> DataFrame:
-        """(cid, pick, copies) of the classes in pairs, staged: a document to read for each, and its rows."""
-        cids = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-        ids = self.rows.filter("n > 0").groupBy("cid", "pick").agg(F.count("*").alias("copies"))
-        return stage(cids.join(ids.groupBy("cid").agg(F.min("pick").alias("pick"), F.min_by("copies", "pick").alias("copies")), "cid"), "picks")
+    def _of(self, rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+        """The rows whose key is among ids (staged); beyond a bound they are joined by shuffling."""
+        return rows.join(F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids, key, "left_semi")
 
-    def _of(self, docs: DataFrame, picks: DataFrame, keys: list[str]) -> DataFrame:
-        """The rows of docs whose keys are picked; picks beyond a bound are joined by shuffling."""
-        ids = picks.select(*keys).distinct()
-        return docs.join(F.broadcast(ids) if picks.count() <= BROADCAST_IDS else ids, keys, "left_semi")
-
-    def _one_of_each(self, rows: DataFrame, picks: DataFrame, columns: list[str]) -> DataFrame:
-        """cid and columns of the classes picked, from rows with cid and pick: a row for each class.
-
-        Where every pick is one row the rows are left as they come, which lets Spark split the pairs of a class
-        that leads a large group when they are joined; repeated rows are brought together first.
-        """
-        rows = self._of(rows, picks, ["cid", "pick"])
-        if picks.filter("copies > 1").limit(1).count():
-            rows = rows.groupBy("cid").agg(*[F.first(c).alias(c) for c in columns])
-        return rows.select("cid", *columns)
-
-    def _whole_sets(self, picks: DataFrame) -> DataFrame:
-        """(cid, set) of the classes picked: a second reading of one document of each."""
-        return self._one_of_each(self._sets(prefix=False, only=self._of(self.texts, picks, ["pick"])), picks, ["set"])
-
-    def _likely(self, pairs: DataFrame, picks: DataFrame) -> DataFrame:
+    def _candidates(self, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(cid, n, front) and (cid, set) of the classes in lists, staged: the second and last reading of texts, one of each class."""
+        t = self.threshold
+        cids = lists.select("cid").distinct()
+        front = F.slice("prefix", F.lit(1), (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")).alias("front")
+        fronts = stage(self.classes.join(cids, "cid", "left_semi").select("cid", "n", "pick", front), "fronts")
+        picks = fronts.select("pick").distinct()
+        sets = self._sets(prefix=False, only=self._of(self.texts, picks, "pick")).groupBy("cid").agg(F.first("set").alias("set"))
+        return fronts.drop("pick"), stage(sets, "whole")
+
+    def _likely(self, pairs: DataFrame, fronts: DataFrame) -> DataFrame:
         """The pairs whose sets have as many keys in common among the fronts of their sets as a link asks for.
 
         Of an overlap of o, at most need - 1 are behind the front of the set whose front ends first.
         """
         t = self.threshold
-        fronts = self._one_of_each(self.rows, picks, ["n", "prefix"])
-        fronts = fronts.select("cid", "n", F.slice("prefix", F.lit(1), (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")).alias("front"))
         side = lambda x: fronts.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("front").alias(f"f{x}"))
         both = F.size(F.array_intersect("fa", "fb"))
         asked = F.ceil((F.col("na") + F.col("nb")) * t / (100 + t)) - F.ceil(F.greatest("na", "nb") * t / 100) + 1
@@ -465,8 +452,14 @@ class JaccardJoin:
         t = self.threshold
         by_list = lambda df: df.repartition("key").sortWithinPartitions("key", "n", "cid")
         lists = stage(by_list(self.postings()).mapInArrow(lambda x: _shared(x, t), "key long, cid long, n long, place long, large boolean"), "lists")
+        fronts, whole = self._candidates(lists)
         seen, labels = [], None
 
+        def among(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+            """The rows of the classes in pairs (staged)."""
+            cids = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+            return self._of(rows, cids, "cid")
+
         def labelled() -> DataFrame:
             if labels is None:
                 return by_list(lists.withColumn("label", F.col("cid")))
@@ -478,14 +471,11 @@ class JaccardJoin:
             for done in seen:
                 pairs = pairs.join(done, ["a", "b"], "left_anti")
             pairs = stage(pairs.distinct(), "pairs")
-            picks = self._picked(pairs)
             if sift:
-                all_pairs, all_picks = pairs, picks
-                pairs = stage(self._likely(pairs, picks), "likely")
-                picks = self._picked(pairs)
-                drop_staged(all_pairs, all_picks)
-            seen.append(stage(_verified(pairs, self._whole_sets(picks)), "seen"))
-            drop_staged(pairs, picks)
+                every_pair, pairs = pairs, stage(self._likely(pairs, among(fronts, pairs)), "likely")
+                drop_staged(every_pair)
+            seen.append(stage(_verified(pairs, among(whole, pairs)), "seen"))
+            drop_staged(pairs)
             row = seen[-1].agg(F.count("*").alias("n"), F.count_if(self._links()).alias("links")).first()
             return row["n"], row["links"]
 
@@ -496,7 +486,7 @@ class JaccardJoin:
             if linked * 20 < tried or not tried:
                 break
         verify(labelled().mapInArrow(lambda x: _others(x, t, every), "a long, b long"), sift=True)
-        drop_staged(lists)
+        drop_staged(lists, fronts, whole)
         return every_seen()
 
     def _links(self):
@@ -536,20 +526,22 @@ def op6(spark, sf_dir: str) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """docs with one row of each component: that with the smallest id (null ids come last), of such with the least hash of the text.
 
-    Documents without words all stay, but for rows that repeat an id with its text.
+    Documents without words all stay, but for rows that repeat an id with its text, null ids too. Rows with a null id
+    are documents of their own; a very long text is a block of its own; all columns are kept, whatever their names.
     """
     # a row is decided by its id and its text, as an id may be null or repeated with another text
-    given, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
+    named, at = plain_names(docs)
+    given, text = F.col(at[id_col]), F.col(at[text_col]).cast("string")
     key = F.struct(given.isNull().alias("missing"), given.alias("id"), F.xxhash64(text).alias("text"))
-    join = JaccardJoin(docs.select(key.alias("key"), text.alias("text")), "key", "text", threshold, size)
-    pick = lambda missing, x: F.xxhash64(missing, x)
+    join = JaccardJoin(named.select(key.alias("key"), text.alias("text")), "key", "text", threshold, size)
+    pick = lambda missing, x: F.xxhash64(missing, x).alias("pick")
     gone = (~F.col("id").eqNullSafe(F.col("component_id"))).cast("int").alias("gone")
-    groups = stage(join.groups().select(pick(F.col("id.missing"), F.col("id.id")).alias("pick"), F.col("id.text").alias("text"), gone), "groups")
+    groups = stage(join.groups().select(pick(F.col("id.missing"), F.col("id.id")), F.col("id.text").alias("text"), gone), "groups")
     # rows to look at: those that another one stands for, and those that come more than once
     touched = groups.groupBy("pick", "text").agg(F.max("gone").alias("gone"), (F.count("*") > 1).alias("again"))
-    touched = stage(touched.filter((F.col("gone") == 1) | F.col("again")), "touched").withColumnsRenamed({c: f"__{c}" for c in ("pick", "text", "gone", "again")})
-    rows = docs.withColumns({"__pick": pick(given.isNull(), given), "__text": F.xxhash64(text)})
-    out = bounded_join(rows, touched, ["__pick", "__text"], "left", most=BROADCAST_IDS).filter(F.coalesce("__gone", F.lit(0)) == 0)
-    once = out.filter(~F.coalesce("__again", F.lit(False))).select(*docs.columns)
-    again = out.filter("__again").dropDuplicates(["__pick", "__text"]).select(*docs.columns)
-    return once.unionByName(again)
+    touched = stage(touched.filter((F.col("gone") == 1) | F.col("again")), "touched")
+    rows = named.select("*", pick(given.isNull(), given), F.xxhash64(text).alias("text"))
+    out = bounded_join(rows, touched, ["pick", "text"], "left", most=BROADCAST_IDS).filter(F.coalesce("gone", F.lit(0)) == 0)
+    again = F.coalesce("again", F.lit(False))
+    kept = out.filter(~again).unionByName(out.filter(again).dropDuplicates(["pick", "text"]))
+    return kept.select(*[F.col(new).alias(name) for name, new in at.items()])
