@@ -11,7 +11,8 @@ all vectors, and the finest hashing that reaches the asked recall on it within M
 any, a table has one bucket and the search is exhaustive.
 
 Equal vectors are one class in all of this, so a vector that a third of the rows share is hashed, probed and
-compared once; buckets of more than BUCKET classes are dealt out over several tasks.
+compared once. A bucket with more than BUCKET classes or VISITS queries is dealt out over several tasks, its classes
+and its queries alike. Vectors travel as bytes of the column's own precision and are compared in double precision.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from limnos.llm.text import keys64, mix64
 from limnos.plans.staging import bounded_join, stage
@@ -34,9 +37,10 @@ TABLES = 6
 WIDTH = 1.6
 MOST_PROBES = 24
 MOST_PROJECTIONS = 20
-#: Classes that a bucket should hold, and those beyond which it is dealt out.
+#: Classes that a bucket should hold; classes and queries beyond which it is dealt out.
 FILL = 2048
-BUCKET = 8192
+BUCKET = 2048
+VISITS = 1024
 #: Sample queries for the choice of parameters, and the recall asked of them.
 SAMPLE = 128
 RECALL = 0.95
@@ -126,10 +130,35 @@ class Hashes:
         return self._table_keys(out)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """rows x dim of a list column without nulls."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+def _matrix(column: pa.Array, kind: str) -> np.ndarray:
+    """rows x dim of a column of packed vectors, in double precision."""
+    if not len(column):
+        return np.zeros((0, 1))
+    column = column.cast(pa.large_binary())
+    _, where, data = column.buffers()
+    ends = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].copy().view(kind).reshape(len(column), -1).astype(np.float64)
+
+
+def _packed(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, str]:
+    """(id, dim, vec) of the rows that take part, vec packed, and the numbers' kind."""
+    small = vectors.schema[vec_col].dataType == ArrayType(FloatType(), vectors.schema[vec_col].dataType.containsNull)
+    kind = "<f4" if small else "<f8"
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast("array<float>" if small else "array<double>").alias("vec")).filter("id IS NOT NULL AND vec IS NOT NULL")
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 4096) for i in range(0, batch.num_rows, 4096)):
+                vecs = part.column(1)
+                x = vecs.flatten().to_numpy(zero_copy_only=False).astype(kind) + np.array(0, kind)  # nulls are nan; -0 is 0
+                ends = np.append(0, np.cumsum(pc.list_value_length(vecs).to_numpy(zero_copy_only=False)))
+                bad, some = (np.append(0, np.cumsum(m)) for m in (~np.isfinite(x), x != 0))
+                ok = np.flatnonzero((bad[ends[1:]] == bad[ends[:-1]]) & (some[ends[1:]] > some[ends[:-1]]))
+                size = x.dtype.itemsize
+                packed = pa.Array.from_buffers(pa.binary(), len(vecs), [None, pa.py_buffer((ends * size).astype(np.int32)), pa.py_buffer(x.tobytes())])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(ok)), pa.array(np.diff(ends)[ok].astype(np.int32)), packed.take(pa.array(ok))], names=["id", "dim", "vec"])
+
+    return rows.mapInArrow(run, "id long, dim int, vec binary"), kind
 
 
 def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -152,7 +181,7 @@ def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, n: int) -> Iterator[tupl
         yield ids[rows][order], scores[order]
 
 
-def _scan(batches, n: int) -> Iterator[pa.RecordBatch]:
+def _scan(batches, n: int, kind: str) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key, salt, kind: the classes of a bucket (kind 0), then the queries that visit it (kind 1)."""
     key, x, ids = None, [], []
     for batch in batches:
@@ -160,7 +189,7 @@ def _scan(batches, n: int) -> Iterator[pa.RecordBatch]:
             continue
         col = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: E731, B023
         keys, salts, kinds, cids = (col(c).to_numpy(zero_copy_only=False) for c in ("key", "salt", "kind", "cid"))
-        vectors = _matrix(col("vec"))
+        vectors = _matrix(col("vec"), kind)
         edge = np.flatnonzero((keys[1:] != keys[:-1]) | (salts[1:] != salts[:-1]) | (kinds[1:] != kinds[:-1])) + 1
         for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(keys)], strict=True):
             if (keys[a], salts[a]) != key:
@@ -179,10 +208,10 @@ def _scan(batches, n: int) -> Iterator[pa.RecordBatch]:
                     )
 
 
-def brute(vectors: DataFrame, queries: DataFrame, n: int = NEAREST) -> DataFrame:
+def brute(vectors: DataFrame, queries: DataFrame, kind: str, n: int = NEAREST) -> DataFrame:
     """(qid, cid, score) of the n best of vectors (cid, vec) for each of a few queries (qid, vec): all products."""
     rows = queries.toArrow()
-    qid, q = rows.column("qid").to_numpy(), _matrix(rows.column("vec").combine_chunks()) if rows.num_rows else np.zeros((0, 1))
+    qid, q = rows.column("qid").to_numpy(), _matrix(rows.column("vec").combine_chunks(), kind)
     given = vectors.sparkSession.sparkContext.broadcast((qid, q))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -191,7 +220,7 @@ def brute(vectors: DataFrame, queries: DataFrame, n: int = NEAREST) -> DataFrame
         for batch in batches:
             for part in (batch.slice(i, 4096) for i in range(0, batch.num_rows, 4096)):
                 if len(ids):
-                    for h, got in zip(held, best(q, _matrix(part.column(1)), part.column(0).to_numpy(zero_copy_only=False), n + 1), strict=True):
+                    for h, got in zip(held, best(q, _matrix(part.column(1), kind), part.column(0).to_numpy(zero_copy_only=False), n + 1), strict=True):
                         h.append(got)
                         if len(h) > 8:
                             h[:] = [tuple(np.concatenate(z) for z in zip(*h, strict=True))]
@@ -206,16 +235,16 @@ def brute(vectors: DataFrame, queries: DataFrame, n: int = NEAREST) -> DataFrame
     return out.withColumn("n", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "cid"))).filter(F.col("n") <= n).drop("n")
 
 
-def choose(classes: DataFrame, queries: DataFrame, count: int, dim: int, norm: float, nearest: int = NEAREST, recall: float = RECALL) -> tuple[Hashes, float]:
+def choose(classes: DataFrame, queries: DataFrame, kind: str, count: int, dim: int, norm: float, nearest: int = NEAREST, recall: float = RECALL) -> tuple[Hashes, float]:
     """The finest hashing that reaches the recall on a sample of queries, and its recall there."""
     exhaustive = Hashes(dim, norm, 0, 1, 1)
     k = max(1, min(MOST_PROJECTIONS, math.ceil(math.log(max(1.0, count / FILL), 3))))
     sample = queries.orderBy(F.xxhash64("qid"), "qid").limit(SAMPLE)
-    true = stage(brute(classes, sample, nearest), "sample")
+    true = stage(brute(classes, sample, kind, nearest), "sample")
     pairs = true.join(F.broadcast(sample.withColumnRenamed("vec", "q")), "qid").join(classes.select("cid", "vec"), "cid").select("q", "vec").toArrow()
     if not pairs.num_rows:
         return exhaustive, 1.0
-    q, x = (_matrix(pairs.column(c).combine_chunks()) for c in ("q", "vec"))
+    q, x = (_matrix(pairs.column(c).combine_chunks(), kind) for c in ("q", "vec"))
     for k_now in range(k, 0, -1):
         h = Hashes(dim, norm, k_now, MOST_PROBES)
         met = (h.visited(q) == h.buckets(x)[:, :, None]).any(axis=1)  # pairs x probes
@@ -231,53 +260,64 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
 
     Ids are integers. Rows whose id or vector is null, whose vector is zero or holds null or non-finite
     components, or has another length than most, take no part; repeated rows count once. Ties go to the smaller
-    id; a query that has fewer candidates gets them all; no rows give no rows.
+    id; a query that has fewer candidates gets them all; no rows give no rows; other columns may have any name.
     """
-    vec = F.col(f"`{vec_col}`").cast("array<double>")
-    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), vec.alias("vec")).filter(F.col("id").isNotNull() & F.col("vec").isNotNull() & (F.size("vec") > 0))
-    # inf - inf and nan are not equal to 0, so one test covers both; a null component makes the whole null
-    finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x - x))
-    rows = rows.filter(finite & F.exists("vec", lambda x: x != 0))
-    common = rows.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    packed, kind = _packed(vectors, id_col, vec_col)
+    packed = stage(packed.dropDuplicates(["id", "vec"]), "vectors")
+    common = packed.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     if not common:
-        return empty
-    rows = stage(rows.filter(F.size("vec") == common["dim"]).dropDuplicates(["id", "vec"]), "vectors")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = packed.filter(F.col("dim") == common["dim"]).select("id", "vec")
     # classes of equal vectors: of their ids only the first n + 1 can be among anyone's n nearest
     first = rows.withColumn("r", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).filter(F.col("r") <= n + 1)
     classes = stage(first.groupBy("vec").agg(F.min("id").alias("cid"), F.sort_array(F.collect_list("id")).alias("ids")), "classes")
-    least = rows.filter(is_query(F.col("id"))).groupBy("vec").agg(F.min("id").alias("any"))
+    least = rows.filter(is_query(F.col("id"))).select("vec").distinct()
     queries = stage(least.join(classes.select("vec", "cid"), "vec").select(F.col("cid").alias("qid"), "vec"), "queries")
-    total = classes.agg(F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm")).first()
-    hashes, _ = choose(classes, queries, total["n"], common["dim"], total["norm"], n, recall)
+
+    def products(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(1), kind)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((x * x).sum(axis=1))], names=["cid", "score"])
+
+    squares = "cid long, score double"
+    total = classes.select("cid", "vec").mapInArrow(products, squares).agg(F.count("*").alias("n"), F.sqrt(F.max("score")).alias("norm")).first()
+    hashes, _ = choose(classes, queries, kind, total["n"], common["dim"], total["norm"], n, recall)
     given = spark.sparkContext.broadcast(hashes)
 
-    def spread(probe: bool):
+    def spread(probe: bool, whole: bool):
         def run(batches) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in (batch.slice(i, 2048) for i in range(0, batch.num_rows, 2048)):
-                    x = _matrix(part.column(1))
+                    x = _matrix(part.column(1), kind)
                     keys = given.value.visited(x) if probe else given.value.buckets(x)
                     keys = keys.reshape(len(x), -1)
-                    many = keys.shape[1]
-                    at = np.repeat(np.arange(len(x)), many)
-                    order = np.lexsort((at, keys.ravel()))  # a query's probes of one table differ, those of two may not
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()[order]), part.column(0).take(pa.array(at[order])), part.column(1).take(pa.array(at[order]))], names=["key", "cid", "vec"])
+                    if not whole:
+                        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel())], names=["key"])
+                        continue
+                    at = np.repeat(np.arange(len(x)), keys.shape[1])
+                    order = pa.array(at)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), part.column(0).take(order), part.column(1).take(order)], names=["key", "cid", "vec"])
 
         return run
 
-    index = classes.select("cid", "vec").mapInArrow(spread(False), "key long, cid long, vec array<double>")
-    full = stage(index.groupBy("key").count().filter(F.col("count") > BUCKET).select("key", F.ceil(F.col("count") / BUCKET).cast("int").alias("shares")), "full")
-    share = F.coalesce("shares", F.lit(1))
-    index = bounded_join(index, full, ["key"], "left").select("key", F.pmod(F.xxhash64("cid"), share).cast("int").alias("salt"), F.lit(0).alias("kind"), "cid", "vec")
-    probes = queries.select("qid", "vec").mapInArrow(spread(True), "key long, cid long, vec array<double>")
-    probes = bounded_join(probes, full, ["key"], "left").select("key", F.explode(F.sequence(F.lit(0), share - 1)).alias("salt"), F.lit(1).alias("kind"), "cid", "vec")
-    both = index.unionByName(probes).repartition("key", "salt").sortWithinPartitions("key", "salt", "kind", "cid")
-    found = both.mapInArrow(lambda x: _scan(x, n + 1), "qid long, cids array<long>, scores array<double>")
+    pointed = "key long, cid long, vec binary"
+    sides = classes.select("cid", "vec"), queries.select("qid", "vec")
+    keys = [side.mapInArrow(spread(i == 1, False), "key long").groupBy("key").agg(F.count("*").alias(name)) for i, (side, name) in enumerate(zip(sides, ("held", "asked"), strict=True))]
+    full = keys[0].join(keys[1], "key").filter((F.col("held") > BUCKET) | (F.col("asked") > VISITS))
+    full = stage(full.select("key", F.ceil(F.col("held") / BUCKET).cast("int").alias("shares"), F.ceil(F.col("asked") / VISITS).cast("int").alias("turns")), "full")
+    shares, turns = (F.coalesce(c, F.lit(1)) for c in ("shares", "turns"))
+    every = lambda upto: F.explode(F.sequence(F.lit(0), upto - 1))
+    own = lambda upto: F.pmod(F.xxhash64("cid"), upto).cast("int")
+    index, probes = (bounded_join(side.mapInArrow(spread(i == 1, True), pointed), full, ["key"], "left") for i, side in enumerate(sides))
+    index = index.select("key", own(shares).alias("share"), every(turns).alias("turn"), F.lit(0).alias("kind"), "cid", "vec")
+    probes = probes.select("key", every(shares).alias("share"), own(turns).alias("turn"), F.lit(1).alias("kind"), "cid", "vec")
+    both = index.unionByName(probes).withColumn("salt", F.xxhash64("share", "turn")).drop("share", "turn")
+    both = both.repartition("key", "salt").sortWithinPartitions("key", "salt", "kind", "cid")
+    found = both.mapInArrow(lambda x: _scan(x, n + 1, kind), "qid long, cids array<long>, scores array<double>")
     found = found.select("qid", F.inline(F.arrays_zip(F.col("cids").alias("cid"), F.col("scores").alias("score"))))
-    own = queries.select("qid", F.col("qid").alias("cid"), F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x).alias("score"))
-    found = found.unionByName(own).groupBy("qid", "cid").agg(F.max("score").alias("score"))
+    selves = queries.select("qid", "vec").mapInArrow(products, squares).select(F.col("cid").alias("qid"), "cid", "score")
+    found = found.unionByName(selves).groupBy("qid", "cid").agg(F.max("score").alias("score"))
     top = lambda by: Window.partitionBy("qid").orderBy(F.desc("score"), by)
     found = found.withColumn("r", F.row_number().over(top("cid"))).filter(F.col("r") <= n + 1)
     ids = found.join(classes.select("cid", "ids"), "cid").select("qid", "score", F.explode("ids").alias("id"))
