@@ -2,11 +2,16 @@ r"""Quality rules with verdicts on hosts, in DataFrame operations only.
 
 Counts of each document come from its words (runs of ``[^\x20\x09-\x0D]``). Rule failures are summed by host,
 each host's failure rate is shrunk towards a beta prior whose two parameters are fitted to the rates of all
-hosts by their mean and variance, and the verdict on the host is joined back to its documents.
+hosts by their mean and variance, and the verdict on the host is joined back to its documents: a host whose rate
+passes a limit goes as a whole; of a host whose rate of a rule is above the prior's mean, the documents that fail
+that rule go; elsewhere such a failure is taken for an accident. The base rule holds on every host.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +22,9 @@ SYMBOLS = "#*$%&|<>"
 #: A host goes when the shrunk share of its documents that fail a rule passes this.
 HOST_LIMIT = 0.5
 RULES = ("base", "symbols", "dup_lines", "word_length")
+#: The rules that a host's verdict turns on or off, and by how much its rate must be above the mean.
+SOFT = RULES[1:]
+ABOVE = 1e-9
 
 
 def repeated_words(words: Column) -> Column:
@@ -83,7 +91,7 @@ def failures() -> dict[str, Column]:
 
 
 def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """A row for each host: its documents, its shrunk failure rate by rule, and host_kept.
+    """A row for each host: its documents, its shrunk failure rate by rule, host_kept, and which soft rules are strict there.
 
     The prior of a rule is Beta(m k, (1 - m) k) with m the mean of the hosts' rates and k = m (1 - m) / v - 1
     for their variance v, held between 1 and 1e6; with one host or equal rates k is 1e6.
@@ -91,13 +99,14 @@ def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     hosts = rows.groupBy("__host", "__no_host").agg(F.count("*").alias("n_docs"), *[F.sum(f"fail_{r}").alias(f"fail_{r}") for r in RULES])
     rate = lambda r: F.col(f"fail_{r}") / F.col("n_docs")
     prior = hosts.agg(*[F.avg(rate(r)).alias(f"m_{r}") for r in RULES], *[F.var_pop(rate(r)).alias(f"v_{r}") for r in RULES])
+    row = prior.first()  # the prior is a few numbers
+    mean, k = {}, {}
     for r in RULES:
-        m, v = F.col(f"m_{r}"), F.col(f"v_{r}")
-        k = F.when(v > 0, F.least(F.lit(1e6), F.greatest(F.lit(1.0), m * (1 - m) / v - 1))).otherwise(F.lit(1e6))
-        prior = prior.withColumn(f"k_{r}", k)
-    hosts = hosts.join(F.broadcast(prior))  # the prior is one row
-    rates = [((F.col(f"fail_{r}") + F.col(f"m_{r}") * F.col(f"k_{r}")) / (F.col("n_docs") + F.col(f"k_{r}"))).alias(f"rate_{r}") for r in RULES]
-    hosts = hosts.select("__host", "__no_host", "n_docs", *rates)
+        m, v = row[f"m_{r}"], row[f"v_{r}"]
+        mean[r], k[r] = F.lit(m).cast("double"), F.lit(min(1e6, max(1.0, m * (1 - m) / v - 1)) if v else 1e6)
+    rates = [((F.col(f"fail_{r}") + mean[r] * k[r]) / (F.col("n_docs") + k[r])).alias(f"rate_{r}") for r in RULES]
+    strict = [(F.col(f"rate_{r}") > mean[r] + ABOVE).alias(f"strict_{r}") for r in SOFT]
+    hosts = hosts.select("*", *rates).select("__host", "__no_host", "n_docs", *[f"rate_{r}" for r in RULES], *strict)
     return hosts.withColumn("host_kept", F.greatest(*[F.col(f"rate_{r}") for r in RULES]) <= limit)
 
 
@@ -105,22 +114,26 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Counts, base_failed, the host's verdict and kept for each row of docs.
 
     A null text has no words and fails; null hosts are one host; repeated rows count as often as they come;
-    no rows give no rows. A host is judged by rates only, so its clean documents go with it when it goes.
+    no rows give no rows. A host is judged by rates only, so its clean documents go with it when it goes. A very long
+    text is counted as a whole; other columns are left out, whatever their names.
     """
     rows = counts(docs, id_col, text_col, host_col)
     rows = stage(rows.withColumns({f"fail_{r}": c.cast("long") for r, c in failures().items()}), "rules")
     verdicts = stage(host_verdicts(rows, limit), "hosts")
-    gone = verdicts.filter(~F.col("host_kept")).select("__host", "__no_host", F.lit(False).alias("host_kept"))
-    out = bounded_join(rows, gone, ["__host", "__no_host"], "left").withColumn("base_failed", F.col("fail_base") == 1)
-    host_kept = F.coalesce(F.col("host_kept"), F.lit(True))
-    return out.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & host_kept).alias("kept"))
+    strict = [F.col(f"strict_{r}") for r in SOFT]
+    judged = verdicts.filter(reduce(or_, strict, ~F.col("host_kept"))).select("__host", "__no_host", "host_kept", *strict)
+    out = bounded_join(rows, judged, ["__host", "__no_host"], "left").withColumn("base_failed", F.col("fail_base") == 1)
+    failed = reduce(or_, [(F.col(f"fail_{r}") == 1) & F.col(f"strict_{r}") for r in SOFT])
+    good = F.coalesce(F.col("host_kept") & ~failed, F.lit(True))
+    return out.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & good).alias("kept"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
     return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-_RATES = ", ".join(f"(sum(f_{r}) + m_{r} * k_{r}) / (count(*) + k_{r}) AS r_{r}" for r in RULES)
+_RATES = ", ".join(f"(sum(f_{r}) + m_{r} * k_{r}) / (count(*) + k_{r}) AS r_{r}, m_{r}" for r in RULES)
+_FAILS = " OR ".join(f"(f_{r} = 1 AND r_{r} > m_{r} + {ABOVE})" for r in SOFT)
 SQL7 = rf"""WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
 toks AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
 word AS (SELECT rid, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM toks),
@@ -142,5 +155,5 @@ mv AS (SELECT {", ".join(f"avg(a_{r}) AS m_{r}, var_pop(a_{r}) AS v_{r}" for r i
 prior AS (SELECT *, {", ".join(f"CASE WHEN v_{r} > 0 THEN least(1e6, greatest(1.0, m_{r} * (1 - m_{r}) / v_{r} - 1)) ELSE 1e6 END AS k_{r}" for r in RULES)} FROM mv),
 verdict AS (SELECT source, {_RATES} FROM f, prior GROUP BY source, {", ".join(f"m_{r}, k_{r}" for r in RULES)})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND greatest({", ".join(f"r_{r}" for r in RULES)}) <= {HOST_LIMIT} AS kept
+    NOT base_failed AND greatest({", ".join(f"r_{r}" for r in RULES)}) <= {HOST_LIMIT} AND NOT ({_FAILS}) AS kept
 FROM f JOIN verdict v ON f.source IS NOT DISTINCT FROM v.source"""
