@@ -14,7 +14,7 @@ import numpy as np
 
 HIDDEN = 24
 GROUP = 64
-GROUPS = 64
+GROUPS = 32
 TAILS = 64
 WINDOW = 16
 STREAMS = 128
@@ -23,7 +23,12 @@ ROWS = 32_768
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    """The logistic function, in place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
 @dataclass
@@ -77,24 +82,32 @@ class Gru:
         n = np.tanh(x[:, 2 * HIDDEN :] + r * (g[:, 2 * HIDDEN :] + self.rec_b))
         return n + z * (h - n)
 
+    def _grouped(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """(class of each target, an order that sorts them by class, (group, start, end) of the head words in that order)."""
+        cls = np.where(targets < GROUPS * GROUP, targets // GROUP, targets - GROUPS * GROUP + GROUPS).astype(np.int16)
+        order = np.argsort(cls, kind="stable")
+        edges = np.searchsorted(cls[order], np.arange(GROUPS + 1)).tolist()
+        return cls, order, [(k, x, y) for k, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if y > x]
+
     def log_probs(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each target after its state."""
-        head = targets < GROUPS * GROUP
-        cls = np.where(head, targets // GROUP, targets - GROUPS * GROUP + GROUPS)
+        cls, order, groups = self._grouped(targets)
+        every = np.arange(len(h))
         logits = h @ self.cls
         logits += self.cls_b
         logits -= logits.max(axis=1, keepdims=True)
-        every = np.arange(len(h))
-        out = logits[every, cls] - np.log(np.exp(logits).sum(axis=1))
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(GROUPS + 1))
-        for k in range(GROUPS):
-            rows = order[edges[k] : edges[k + 1]]
-            if len(rows):
-                inner = h[rows] @ self.out[k]
-                inner += self.out_b[k]
-                inner -= inner.max(axis=1, keepdims=True)
-                out[rows] += inner[np.arange(len(rows)), targets[rows] % GROUP] - np.log(np.exp(inner).sum(axis=1))
+        out = logits[every, cls]
+        out -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        last = groups[-1][2] if groups else 0
+        order = order[:last]  # the head words
+        states, words, found = h[order], targets[order] % GROUP, np.empty(last, h.dtype)
+        for k, x, y in groups:
+            inner = states[x:y] @ self.out[k]
+            inner += self.out_b[k]
+            inner -= inner.max(axis=1, keepdims=True)
+            found[x:y] = inner[every[: y - x], words[x:y]]
+            found[x:y] -= np.log(np.exp(inner, out=inner).sum(axis=1))
+        out[order] += found
         return out
 
     def score(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -139,7 +152,7 @@ class Gru:
     # ---- training ----
 
     def train(self, symbols: np.ndarray, first: np.ndarray, rate: float = 0.08, epochs: int = 1, streams: int = STREAMS) -> Gru:
-        """Adagrad over the text as parallel streams. first: whether each symbol begins a document."""
+        """Adagrad over the text as parallel streams: many make fewer and cheaper steps. first: whether each symbol begins a document."""
         net = self.with_flat(self.flat())
         streams = max(1, min(streams, len(symbols) // (2 * WINDOW)))
         n = len(symbols) // streams
@@ -157,36 +170,40 @@ class Gru:
 
     def _window(self, h: np.ndarray, before: np.ndarray, targets: np.ndarray, fresh: np.ndarray, memory: list[np.ndarray], rate: float) -> np.ndarray:
         steps, streams = before.shape
-        saved, states = [], np.empty((steps, streams, HIDDEN), np.float32)
+        kind = h.dtype
+        xs, states = self.table[before], np.empty((steps, streams, HIDDEN), kind)
+        was, zr, gn, n = (np.empty((steps, streams, k * HIDDEN), kind) for k in (1, 2, 1, 1))
+        anew = fresh.any(axis=1).tolist()
         for t in range(steps):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-            x, g = self.table[before[t]], h @ self.rec
-            zr = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            gn = g[:, 2 * HIDDEN :] + self.rec_b
-            n = np.tanh(x[:, 2 * HIDDEN :] + r * gn)
-            saved.append((h, z, r, gn, n))
-            h = n + z * (h - n)
+            if anew[t]:
+                h = np.where(fresh[t][:, None], kind.type(0), h)
+            x, g = xs[t], h @ self.rec
+            was[t], zr[t] = h, _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
+            np.add(g[:, 2 * HIDDEN :], self.rec_b, out=gn[t])
+            np.tanh(x[:, 2 * HIDDEN :] + zr[t, :, HIDDEN:] * gn[t], out=n[t])
+            h = n[t] + zr[t, :, :HIDDEN] * (h - n[t])
             states[t] = h
-        flat, goal = states.reshape(-1, HIDDEN), targets.ravel()
-        grads, d_flat = self._outputs(flat, goal)
+        grads, d_flat = self._outputs(states.reshape(-1, HIDDEN), targets.ravel())
         d_states = d_flat.reshape(steps, streams, HIDDEN)
-        d_x = np.empty((steps, streams, 3 * HIDDEN), np.float32)
-        d_rec, d_rec_b = np.zeros_like(self.rec), np.zeros_like(self.rec_b)
-        d_h = np.zeros((streams, HIDDEN), np.float32)
+        # what doesn't depend on the steps behind is computed for all steps together
+        z, r = zr[:, :, :HIDDEN], zr[:, :, HIDDEN:]
+        to_n, to_z, to_r = (1 - z) * (1 - n * n), (was - n) * z * (1 - z), gn * r * (1 - r)
+        d_x, d_g = (np.empty((steps, streams, 3 * HIDDEN), kind) for _ in range(2))
+        d_h = np.zeros((streams, HIDDEN), kind)
         for t in range(steps - 1, -1, -1):
-            was, z, r, gn, n = saved[t]
             d = d_states[t] + d_h
-            d_n = d * (1 - z) * (1 - n * n)
-            d_gn = d_n * r
-            d_x[t, :, :HIDDEN] = d * (was - n) * z * (1 - z)
-            d_x[t, :, HIDDEN : 2 * HIDDEN] = d_n * gn * r * (1 - r)
+            d_n = d * to_n[t]
+            np.multiply(d, to_z[t], out=d_g[t, :, :HIDDEN])
+            np.multiply(d_n, to_r[t], out=d_g[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(d_n, r[t], out=d_g[t, :, 2 * HIDDEN :])
             d_x[t, :, 2 * HIDDEN :] = d_n
-            d_g = np.concatenate([d_x[t, :, : 2 * HIDDEN], d_gn], axis=1)
-            d_rec += was.T @ d_g
-            d_rec_b += d_gn.sum(0)
-            d_h = d * z + d_g @ self.rec.T
-            d_h[fresh[t]] = 0
+            d_h = d * z[t]
+            d_h += d_g[t] @ self.rec.T
+            if anew[t]:
+                d_h[fresh[t]] = 0
+        d_x[:, :, : 2 * HIDDEN] = d_g[:, :, : 2 * HIDDEN]
+        d_rec = was.reshape(-1, HIDDEN).T @ d_g.reshape(-1, 3 * HIDDEN)
+        d_rec_b = d_g[:, :, 2 * HIDDEN :].sum(axis=(0, 1))
         self._adagrad("rec", d_rec, memory[1], rate)
         self._adagrad("rec_b", d_rec_b, memory[2], rate)
         for k, name in ((3, "cls"), (4, "cls_b"), (5, "out"), (6, "out_b")):
@@ -206,27 +223,29 @@ class Gru:
 
     def _outputs(self, h: np.ndarray, targets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the mean negative log-likelihood for the output weights and the states."""
-        m = np.float32(1 / len(h))
-        head = targets < GROUPS * GROUP
-        cls = np.where(head, targets // GROUP, targets - GROUPS * GROUP + GROUPS)
-        p = h @ self.cls + self.cls_b
-        p = np.exp(p - p.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(h)), cls] -= 1
-        p *= m
+        m = h.dtype.type(1 / len(h))
+        cls, order, groups = self._grouped(targets)
+        every = np.arange(len(h))
+        p = h @ self.cls
+        p += self.cls_b
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p *= m / p.sum(axis=1, keepdims=True)
+        p[every, cls] -= m
         grads = {"cls": h.T @ p, "cls_b": p.sum(0), "out": np.zeros_like(self.out), "out_b": np.zeros_like(self.out_b)}
         d_h = p @ self.cls.T
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(GROUPS + 1))
-        for k in range(GROUPS):
-            rows = order[edges[k] : edges[k + 1]]
-            if len(rows):
-                q = h[rows] @ self.out[k] + self.out_b[k]
-                q = np.exp(q - q.max(axis=1, keepdims=True))
-                q /= q.sum(axis=1, keepdims=True)
-                q[np.arange(len(rows)), targets[rows] % GROUP] -= 1
-                q *= m
-                grads["out"][k] = h[rows].T @ q
-                grads["out_b"][k] = q.sum(0)
-                d_h[rows] += q @ self.out[k].T
+        last = groups[-1][2] if groups else 0
+        order = order[:last]
+        states, words, d_states = h[order], targets[order] % GROUP, np.empty((last, HIDDEN), h.dtype)
+        for k, x, y in groups:
+            q = states[x:y] @ self.out[k]
+            q += self.out_b[k]
+            q -= q.max(axis=1, keepdims=True)
+            np.exp(q, out=q)
+            q *= m / q.sum(axis=1, keepdims=True)
+            q[every[: y - x], words[x:y]] -= m
+            np.matmul(states[x:y].T, q, out=grads["out"][k])
+            grads["out_b"][k] = q.sum(0)
+            np.matmul(q, self.out[k].T, out=d_states[x:y])
+        d_h[order] += d_states
         return grads, d_h

@@ -31,11 +31,14 @@ HEAD = GROUP * GROUPS
 KNOWN = 200_000
 #: Tokens counted, or scored, together in a task.
 CHUNK = 2_000_000
-#: One training document of SHARE trains the weights (1: all do), in ROUNDS rounds of tasks of about TASK_TOKENS;
-#: WARM documents of WARM_CHARS at most start them.
+#: One training document of SHARE trains the weights (1: all do), in ROUNDS rounds of tasks of about TASK_TOKENS in so
+#: many streams; WARM documents of WARM_CHARS at most start them.
 SHARE = 1
 ROUNDS = 4
 TASK_TOKENS = 2_500_000
+STREAMS, RATE = 384, 0.1
+#: Parts in which weights are averaged.
+PARTS = 64
 WARM = 512
 WARM_CHARS = 50_000
 PUNCTUATION = np.zeros(256, bool)
@@ -142,6 +145,18 @@ def _symbols(batches, known: Known) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(held), np.concatenate(firsts)) if held else (np.zeros(0, np.int32), np.zeros(0, bool))
 
 
+def _means(batches) -> Iterator[pa.RecordBatch]:
+    """The mean of each part of the weights, by the tokens that trained them."""
+    sums: dict[int, np.ndarray] = {}
+    tokens_of: dict[int, int] = {}
+    for batch in batches:
+        for i, n, w in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            sums[i] = sums.get(i, 0.0) + np.frombuffer(w, np.float32).astype(np.float64) * n
+            tokens_of[i] = tokens_of.get(i, 0) + n
+    if sums:
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([(w / tokens_of[i]).tobytes() for i, w in sums.items()], pa.binary())], names=["i", "w"])
+
+
 def train(texts: DataFrame, known: Known, given, share: int = SHARE, warm: int = WARM, task_tokens: int = TASK_TOKENS, rounds: int = ROUNDS) -> Gru:
     """Weights from the training texts (column text, and x, a hash that deals them to shares and rounds). given: known, broadcast."""
     net = Gru.new(known.head_counts, known.tail_counts, known.end)
@@ -154,16 +169,15 @@ def train(texts: DataFrame, known: Known, given, share: int = SHARE, warm: int =
         def run(batches, start=start) -> Iterator[pa.RecordBatch]:
             symbols, begins = _symbols(batches, given.value)
             if len(symbols):
-                got = start.value.train(symbols, begins, rate=0.08)
-                yield pa.RecordBatch.from_arrays([pa.array([len(symbols)]), pa.array([got.flat()])], names=["n", "w"])
+                got = start.value.train(symbols, begins, rate=RATE, streams=STREAMS).flat()
+                parts = np.array_split(got, PARTS)
+                yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([len(symbols)] * PARTS), pa.array([w.tobytes() for w in parts], pa.binary())], names=["i", "n", "w"])
 
         part = texts.filter(F.pmod(F.col("x"), F.lit(share * rounds)) == share * turn).select("text").repartition(tasks)
-        each = part.mapInArrow(run, "n long, w array<float>").select("n", F.posexplode("w").alias("i", "w"))
-        mean = each.groupBy("i").agg((F.sum(F.col("w").cast("double") * F.col("n")) / F.sum("n")).alias("w")).toArrow()
+        mean = part.mapInArrow(run, "i int, n long, w binary").repartition("i").mapInArrow(_means, "i int, w binary").toArrow()
         if mean.num_rows:
-            flat = np.zeros(mean.num_rows)
-            flat[mean.column("i").to_numpy()] = mean.column("w").to_numpy()
-            net = net.with_flat(flat)
+            by_part = dict(zip(mean.column("i").to_pylist(), mean.column("w").to_pylist(), strict=True))
+            net = net.with_flat(np.concatenate([np.frombuffer(by_part[i], np.float64) for i in range(PARTS)]))
         start.unpersist()
     return net
 
