@@ -61,7 +61,7 @@ def taken(rows):
     text = {i: t or "" for i, t, _ in rows}
 
     def key(i):
-        u = (int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:12], 16) + 0.5) / 16**12
+        u = (int(hashlib.md5(f"mix:{i}:{text[i]}".encode()).hexdigest()[:12], 16) + 0.5) / 16**12
         n = size[i]
         w = 0.01 if not n else max(0.01, (n / (n + 20)) / (1 + abs(len(text[i]) / n - 6) / 6))
         return -math.log(u) / w, i, n

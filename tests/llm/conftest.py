@@ -30,9 +30,14 @@ ODD = [
 ]
 
 
+#: Names that operators give to columns of their own, results and others.
+CLASHES = "id row score rejected lang_pred __text __pick __again __gone __k __size __src __copy __salt __host pick gone again src size x k n cid label c0 c1 findings decoded ids".split()
+
+
 @pytest.fixture
 def odd(spark):
     """Nulls in every column, empty and very long texts, repeated rows, and columns with names that operators use."""
     rows = [(i, t, None if i % 4 == 0 else "en" if i % 2 else "fr", None if i % 5 == 0 else f"s{i % 2}", len(t or ""), "x", i, 0.5) for i, t in enumerate(ODD, 1)]
     rows += [rows[5], rows[8], rows[0], (None, "a text without an id and some words", "en", "s1", 3, None, None, None), (None, None, None, None, None, None, None, None)]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string, row long, score double")
+    rows = [(*r, *[f"{name}-{r[0]}" for name in CLASHES[3:]]) for r in rows]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string, row long, score double, " + ", ".join(f"`{name}` string" for name in CLASHES[3:]))

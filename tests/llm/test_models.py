@@ -3,6 +3,8 @@
 import hashlib
 import os
 import zlib
+import random
+import string
 from collections import Counter
 
 import numpy as np
@@ -162,6 +164,36 @@ def test_redaction(docs):
     assert [got[i] for i in range(1, 5)] == [t and redacted(t, base_secrets(t)) for t in texts]
 
 
+def test_planted_keys_in_whole_documents(spark, sf):
+    """Keys of forms and surroundings that no training finding has, in documents as they are; documents without them are left alone."""
+    r = random.Random(21)
+    mixed = string.ascii_letters + string.digits
+    forms = (
+        lambda: "gho_" + "".join(r.choices(mixed, k=36)), lambda: "SG." + "".join(r.choices(mixed, k=22)), lambda: "".join(r.choices(mixed + "+/", k=40)),
+        lambda: "k" + "".join(r.choices("0123456789abcdef", k=18)) + "Q" + "".join(r.choices(mixed, k=12)),
+    )
+    rows = [x["text"] for x in spark.read.parquet(f"{sf}/documents.parquet").collect() if x["text"] and not base_secrets(x["text"])]
+    planted = []
+    for t in rows:
+        words, key = t.split(" "), r.choice(forms)()
+        words.insert(r.randrange(len(words) + 1), key)
+        planted.append((" ".join(words), key))
+    net = secrets.default_network()
+    clean = secrets.scan(pa.array(rows), net)
+    assert sum(map(len, clean.values())) <= len(rows) // 100
+    got = secrets.scan(pa.array([t for t, _ in planted]), net)
+    whole = [any(t.encode().decode()[a:b].endswith(key[-12:]) and key[-20:] in t[a:b] for a, k, b, _ in got.get(i, ()) if k == 3) for i, (t, key) in enumerate(planted)]
+    assert np.mean(whole) > 0.9
+
+
+def test_words_around_base_findings_are_found_whole():
+    net = secrets.default_network()
+    text = "use ghp_a8K0123456789abcdefZq9xK1 or build-0123456789abcdef0123456789abcdef01234567-final here"
+    found = secrets.scan(pa.array([text]), net)[0]
+    assert [(secrets.KINDS[k], text[a:b]) for a, k, b, _ in found] == [("model", "ghp_a8K0123456789abcdefZq9xK1"), ("hex", "0123456789abcdef"), ("hex", "0123456789abcdef0123456789abcdef01234567")]
+    assert secrets._replaced(text, found) == "use [secret] or build-[secret]-final here"
+
+
 # licenses
 
 
@@ -218,11 +250,89 @@ def test_no_cue_is_lost_to_tolerated_words():
         assert sum(any(c in w.encode() for c in licenses.CUES) for w in wording) > most
 
 
+def every_block(text):
+    """Findings by each template against every block of its length, give or take what may differ, compressed with it and without."""
+    plain, known = licenses.templates()
+    found = licenses.words(text)
+    block = [w for w, _, _ in found]
+    held = []
+    for k, (_, wording, compressor, most, _) in enumerate(known):
+        seen = set()
+        for start in range(len(block)):
+            differences, a, b, diff = licenses.align(wording, block[start : start + len(wording) + most])
+            a, b = start + a, start + b
+            if a != start or b <= a or differences > most or (a, b) in seen or any(licenses.naming(x, block[a:b]) for x in diff):
+                continue
+            seen.add((a, b))
+            data = " ".join(block[a:b]).encode()
+            less = len(plain.compress(data)) - len(compressor.compress(data))
+            if less >= licenses.LEAST_SAVED:
+                held.append((len(wording) - 2 * differences, less, -k, a, b))
+    out, taken = [], set()
+    for _, _, k, a, b in sorted(held, key=lambda x: (x[:3], -x[3]), reverse=True):
+        if not taken & set(range(a, b)):
+            taken |= set(range(a, b))
+            out.append((known[-k][0], found[a][1], found[b - 1][2]))
+    return sorted(out, key=lambda x: x[1])
+
+
+def test_findings_equal_those_of_every_block_with_every_template():
+    r = random.Random(4)
+    filler = "the of and software license copyright permission rights to in this work free modify any".split()
+    for _ in range(12):
+        parts = []
+        for _ in range(r.randint(1, 3)):
+            parts += r.choices(filler, k=r.randint(3, 25))
+            words = r.choice(licenses.TEMPLATES)[1].split()
+            for _ in range(r.randint(0, 2)):
+                at = r.randrange(len(words))
+                words[at : at + r.randint(0, 1)] = r.choices(["other", "word"], k=r.randint(0, 1))
+            parts += words
+        text = " ".join(parts)
+        assert [f[:3] for f in licenses.scan(text)] == every_block(text)
+
+
 def test_alignment():
     assert licenses.align("a b c d".split(), "x a b q c d y".split()) == (1, 1, 6, ["+q"])
     assert licenses.align("a b c".split(), "z a c".split()) == (1, 1, 3, ["-b"])
 
 
+def test_languages_of_repeated_texts_and_signs_that_are_no_letters(spark):
+    fr = "le chat est sur la table et le chien dort dans le jardin avec les enfants"
+    rows = [(i, f"the number {i} of all those documents is written in the usual words of the language", "en") for i in range(400)] + [(1000 + i, fr, "fr") for i in range(3000)]
+    rows += [(9000, "½ ² Ⅷ 123", None), (9001, "ª", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    learned = language.learn(docs)
+    assert set(learned) == {"en", "fr"} and learned["fr"] == language.letters(fr)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, learned).collect()}
+    assert got[1000] == "fr" and got[5] == "en" and got[9000] == "und" != got[9001]
+
+
+def test_languages_equal_brute_force(spark, sf):
+    """Dictionaries and sizes by plain code, on whole documents."""
+    import zstandard
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    learned = language.learn(docs)
+    taught = {}
+    for text, lang, h in sorted((tuple(r) for r in docs.filter("lang IS NOT NULL").select("text", "lang", F.xxhash64("text")).distinct().collect()), key=lambda r: r[2]):
+        taught.setdefault(lang, []).append((h, text))
+    for lang, texts in taught.items():
+        at = [max(0, (len(t) - language.CHARS_PER_DOC) // 2) for _, t in texts]
+        parts = [language.letters(t[a : a + language.CHARS_PER_DOC])[: language.BYTES_PER_DOC] for a, (_, t) in zip(at, texts, strict=True)]
+        assert learned[lang] == b" ".join(parts[: language.DOCS_PER_LANGUAGE])[: language.DICTIONARY_BYTES]
+    params = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_LAZY2, window_log=18, hash_log=17, chain_log=17, search_log=4, min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False)
+    given = {k: zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(v, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=params) for k, v in learned.items()}
+    got = {r["doc_id"]: (r["lang_pred"], r["rejected"]) for r in language.identify(docs, learned).collect()}
+    for r in docs.collect():
+        clean = language.letters(r["text"])
+        if not any(c.isalpha() for c in r["text"]):
+            assert got[r["doc_id"]] == ("und", True)
+            continue
+        sizes = sorted((sum(len(c.compress(clean[i : i + language.PIECE])) for i in range(0, len(clean), language.PIECE)), k) for k, c in given.items())
+        assert got[r["doc_id"]] == (sizes[0][1], sizes[1][0] - sizes[0][0] < language.MARGIN * sizes[1][0])
+
+
 # likelihoods
 
 
@@ -266,7 +376,7 @@ def test_gradients_of_the_recurrent_network():
 
 def test_probabilities_add_up_and_states_carry():
     r = np.random.default_rng(5)
-    net = gru.Gru.new(r.integers(1, 9, 3000).astype(float), np.ones(gru.TAILS), 0)
+    net = gru.Gru.new(r.integers(1, 9, gru.GROUPS * gru.GROUP - 96).astype(float), np.ones(gru.TAILS), 0)
     every = np.arange(gru.GROUPS * gru.GROUP + gru.TAILS)
     h = r.standard_normal((1, gru.HIDDEN)).astype(np.float32)
     assert np.exp(net.log_probs(np.repeat(h, len(every), 0), every)).sum() == pytest.approx(1, abs=1e-3)

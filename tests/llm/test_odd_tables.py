@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from limnos.llm import jaccard, language, licenses, likelihood, mixing, neighbours, pieces, quality, rules, secrets
 
 tokenizers = pytest.importorskip("public_tokenizers")
@@ -48,11 +49,41 @@ def test_repeated_rows_get_equal_results(name, odd):
     assert all(len(v) == 1 for k, v in by_id.items() if k is not None)
 
 
-def test_filtering_and_mixing_keep_the_columns(odd):
-    for out in (jaccard.one_of_each(odd), mixing.mixed(odd), secrets.redact(odd)):
-        assert out.columns == odd.columns and out.dtypes == odd.dtypes
-        out.collect()
-    assert jaccard.one_of_each(odd.limit(0)).collect() == [] == mixing.mixed(odd.limit(0)).collect()
+KEEPING = {
+    "language": lambda df: corpus_pipeline.language_stage(df.sparkSession, df, ""),
+    "jaccard": jaccard.one_of_each,
+    "secrets": secrets.redact,
+    "mixing": mixing.mixed,
+}
+
+
+@pytest.mark.parametrize("name", KEEPING)
+def test_columns_of_any_name_keep_their_values(name, odd):
+    out = KEEPING[name](odd)
+    assert out.columns == odd.columns and out.dtypes == odd.dtypes
+    rest = [c for c in odd.columns if c not in ("text", "lang")]
+    got, given = ({tuple(r) for r in df.select(*[F.col(f"`{c}`") for c in rest]).collect()} for df in (out, odd))
+    assert got and got <= given
+    assert KEEPING[name](odd.limit(0)).collect() == []
+
+
+def test_one_of_each_decides_by_id_and_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (None, a), (None, b), (5, a), (5, c), (None, None), (None, None), (6, ""), (6, ""), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard.one_of_each(df).collect()), key=str)
+    assert got == sorted([(1, a), (None, b), (5, c), (None, None), (6, ""), (7, "")], key=str)
+
+
+def test_the_pipeline_takes_odd_rows(spark, odd):
+    docs = odd
+    for _, work in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stage(work(spark, docs, ""))
+    assert docs.count() > 0 and set(docs.columns) >= {"doc_id", "ids", "n_tokens"}
+    docs = odd.limit(0)
+    for _, work in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stage(work(spark, docs, ""))
+    assert docs.count() == 0
 
 
 def test_odd_vectors(spark):

@@ -48,6 +48,14 @@ def test_a_bad_host_takes_its_documents_along(spark):
     assert rate["good"] < 0.1 < 0.8 < rate["bad"] < 38 / 39
 
 
+def test_a_rule_holds_where_a_host_breaks_it_more_than_others(spark):
+    clean, symbols = " ".join(f"proper{i} words" for i in range(40)), "# " * 20 + " ".join(f"word{i}" for i in range(80))
+    rows = [(1000 * h + i, symbols if i < bad else clean, f"host{h}") for h, bad in enumerate((1, 2, 30, 3)) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    gone = {r["doc_id"] for r in rules.quality_rules(df).filter("NOT kept AND NOT base_failed").collect()}
+    assert gone == {2000 + i for i in range(30)}
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.dictionaries(st.sampled_from(["a", "b", "é", "z", "😀"]), st.integers(0, 5000), max_size=5), st.one_of(st.none(), st.integers(0, 900)))
 def test_targets_are_those_of_resharing(spark, sizes, nameless):
@@ -77,6 +85,23 @@ def test_documents_equal_brute_force(docs):
 def test_quality_weights_favour_documents(docs):
     plainly, oddly = " ".join(["words"] * 100), "x" * 3000
     df = docs([plainly] * 100 + [oddly] * 100)
-    k = mixing._keyed(df, "doc_id", "text", "source").groupBy(F.col("doc_id") <= 100).agg(F.avg("__k")).collect()
+    k = mixing._keyed(mixing._sourced(df, "doc_id", "text", "source")[0]).groupBy(F.col("id") <= 100).agg(F.avg("k")).collect()
     means = {r[0]: r[1] for r in k}
     assert means[True] < means[False] / 10
+
+
+def test_repeated_rows_are_taken_as_often_by_both(spark):
+    rows = [(7, " ".join(["word"] * 100), "a", "x")] * 10_000 + [(8, "other " * 50, "a", "y"), (None, "no id " * 9, "a", "z"), (None, "nor here " * 9, None, None)]
+    df = spark.createDataFrame(rows + [(9, " ".join(["few"] * 10), "b", "x")] * 3, "doc_id long, text string, source string, lang string").repartition(6)
+    by = ["doc_id", "lang"]
+    want = {tuple(r[:2]): r[2] for r in mixing.mix(df.withColumn("source", F.col("source"))).join(df.select(*by).distinct(), "doc_id").groupBy(*by).agg(F.sum("copies")).collect()}
+    got = {tuple(r[:2]): r[2] for r in mixing.mixed(df).groupBy(*by).count().collect()}
+    assert {k: v for k, v in got.items() if k[0]} == {k: v for k, v in want.items() if k[0] and v}
+    taken = mixing.mix(df).agg(F.sum("taken"), F.first("target")).first()
+    assert abs(taken[0] - df.select(F.sum(mixing.n_words(F.col("text")))).first()[0]) < 3
+    assert mixing.mix(df).count() == df.count()
+
+
+def test_buckets_are_even_for_any_weight(spark):
+    keys = spark.range(40_000).select((-F.log(mixing.uniform(F.col("id"), F.lit(""))) / F.when(F.col("id") % 2 == 0, 0.01).otherwise(0.37)).alias("k"))
+    assert keys.groupBy(F.floor(F.log2("k") * mixing.BUCKETS)).count().agg(F.max("count")).first()[0] < 60
