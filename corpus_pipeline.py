@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limnos.llm import jaccard, language, mixing, pieces, secrets
+from limnos.llm.text import plain_names
 from limnos.plans.staging import stage
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; a document without a given one gets the language found."""
-    columns = [c for c in docs.columns if c != "doc_id"]
-    out = language.identify(docs, language.learn(docs), keep=tuple(columns)).filter(~F.col("rejected"))
-    return out.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    named, at = plain_names(docs)
+    rest = tuple(new for name, new in at.items() if name != "doc_id")
+    dictionaries = language.learn(named, at["text"], at["lang"])
+    out = language.identify(named, dictionaries, at["doc_id"], at["text"], keep=rest).filter(~F.col("rejected"))
+    lang = F.coalesce(at["lang"], F.col("lang_pred").cast(docs.schema["lang"].dataType))
+    return out.select(*[(lang if name == "lang" else F.col(new)).alias(name) for name, new in at.items()])
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,12 +30,12 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, the secrets in their text replaced."""
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    return mixing.mixed(docs).select(*docs.columns)
+    return mixing.mixed(docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
