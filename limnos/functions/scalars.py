@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import struct
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -42,6 +42,11 @@ def days_between(first: Column, last: Column) -> Column:
     return F.datediff(last, first).cast("long")
 
 
+def shifted(column: Column, days: int | Column) -> Column:
+    """The day so many days later, earlier for negative ones."""
+    return F.date_add(column, F.lit(days) if isinstance(days, int) else days)
+
+
 def stamped(prefix: str, when: Column) -> Column:
     """prefix_yyyyMMdd, null without a date."""
     return F.concat(F.lit(f"{prefix}_"), F.date_format(when, "yyyyMMdd"))
@@ -65,7 +70,14 @@ def point(lon: Column, lat: Column) -> Column:
     return F.struct(lon.cast("double").alias("lon"), lat.cast("double").alias("lat"))
 
 
-@F.pandas_udf(BinaryType())
-def wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
+_POINT = np.dtype([("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
+
+
+@F.arrow_udf(BinaryType())
+def wkb(lon: pa.Array, lat: pa.Array) -> pa.Array:
     """Well-known binary of points, null where a coordinate is."""
-    return pd.Series([None if pd.isna(x) or pd.isna(y) else struct.pack("<BIdd", 1, 1, x, y) for x, y in zip(lon, lat, strict=True)])
+    out = np.empty(len(lon), _POINT)
+    out["order"], out["kind"] = 1, 1
+    out["x"], out["y"] = (c.to_numpy(zero_copy_only=False) for c in (lon, lat))
+    packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(_POINT.itemsize), len(out), [None, pa.py_buffer(out.tobytes())]).cast(pa.binary())
+    return pc.if_else(pc.and_(lon.is_valid(), lat.is_valid()), packed, pa.scalar(None, pa.binary()))

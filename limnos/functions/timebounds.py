@@ -20,6 +20,11 @@ def to_utc(x: Bound) -> datetime:
     return x.replace(tzinfo=UTC) if x.tzinfo is None else x.astimezone(UTC)
 
 
+def days_before(days: int, as_of: Bound | None = None) -> date:
+    """The day that lies so many days before the day of as_of; without it, before today's (UTC)."""
+    return (datetime.now(UTC) if as_of is None else to_utc(as_of)).date() - timedelta(days=days)
+
+
 def literal(x: datetime, naive: bool) -> Column:
     """An instant as a literal of the column's own kind, so that the comparison reaches the scan."""
     text = f"{x:%Y-%m-%d %H:%M:%S}.{x.microsecond:06d}"

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limnos.functions.timebounds import Bound, within
+from limnos.functions.timebounds import Bound, days_before, within
 from limnos.operators.latest import latest_by
 from limnos.operators.sets import left_join, where_in
 from limnos.schema import DATE, KEYS, PARAMETER, STATION, VALUE, VERSION
@@ -32,8 +32,15 @@ class Readings:
     def canonical(self, df: DataFrame) -> DataFrame:
         return latest_by(df, self.keys, self.version, self.ties)
 
-    def query(self, df: DataFrame, parameter: list | None = None, stations: list | None = None, start: Bound | None = None, end: Bound | None = None) -> DataFrame:
-        """Canonical readings of the parameters and stations (None: all, empty: none) from start to end."""
+    def query(self, df: DataFrame, parameter: list | None = None, stations: list | None = None, start: Bound | None = None, end: Bound | None = None, days_back: int | None = None, as_of: Bound | None = None) -> DataFrame:
+        """Canonical readings of the parameters and stations (None: all, empty: none) from start to end.
+
+        days_back instead of start begins so many days before the day of as_of (None: today).
+        """
+        if days_back is not None:
+            if start is not None:
+                raise ValueError("either start or days_back")
+            start = days_before(days_back, as_of)
         df = where_in(where_in(df, self.parameter, parameter), self.station, stations)
         bounds = within(df, self.date, start, end)
         return self.canonical(df if bounds is None else df.filter(bounds))
@@ -68,6 +75,6 @@ class Readings:
         return left_join(df.groupBy(self.parameter).agg(F.count("*").alias("n_events")), dimension, [self.parameter])
 
 
-def query_canonical(df: DataFrame, parameter: list | None = None, stations: list | None = None, start: Bound | None = None, end: Bound | None = None) -> DataFrame:
+def query_canonical(df: DataFrame, parameter: list | None = None, stations: list | None = None, start: Bound | None = None, end: Bound | None = None, days_back: int | None = None, as_of: Bound | None = None) -> DataFrame:
     """Readings.query for snapshots with the engine's own columns."""
-    return Readings().query(df, parameter, stations, start, end)
+    return Readings().query(df, parameter, stations, start, end, days_back, as_of)

@@ -1,7 +1,8 @@
 """Intermediate tables written once and read again.
 
 They lie in the folder that ``spark.checkpoint.dir`` names, which all executors share, so a lost executor
-loses no staged rows. Only a session without that setting (a test) gets a folder of this process.
+loses no staged rows. Only a local session without that setting (a test) gets a folder of this process; on a
+cluster it is an error, as rows that one machine wrote to its own disk are not there for the others.
 """
 
 from __future__ import annotations
@@ -18,16 +19,23 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         set_dir = spark.sparkContext.getCheckpointDir()
+        if not set_dir and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = set_dir or f"file://{tempfile.mkdtemp(prefix='limnos-')}"
         if not set_dir:
             spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has yet."""
+    return f"{shared_dir(spark)}/limnos-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write df to the shared folder as Parquet and read it back, cutting its lineage."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/limnos-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

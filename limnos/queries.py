@@ -11,11 +11,14 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from limnos import file_queries
 from limnos.functions.scalars import case, chunk_of, days_between, number, snapshot_name, stamped
 from limnos.functions.timebounds import literal
 from limnos.operators import latest, sets, tidy
 from limnos.operators.amalgamate import amalgamate, overlap_counts
 from limnos.plans.canonical import Readings
+from limnos.plans.staging import fresh_path
+from limnos.sinks.snapshots import export
 
 EVENTS = Readings("user_id", "event_type", "ts", "value", "ts", ["user_id", "event_type", "day"], ["event_id"])
 COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
@@ -124,8 +127,10 @@ def na_poison_max(spark, sf_dir):
 
 
 def values_range(spark, sf_dir):
-    lo, hi = tidy.strict_range("ts")
-    return _table(spark, sf_dir, "events").filter("event_type = 'view'").agg(lo.alias("lo"), hi.alias("hi"))
+    """First and last time of each type; of errors one time is missing, which makes both unknown."""
+    lo, hi = tidy.strict_range("t")
+    rows = _table(spark, sf_dir, "events").withColumn("t", F.when((F.col("event_type") != "error") | (F.col("user_id") % 2 == 0), F.col("ts")))
+    return rows.groupBy("event_type").agg(lo.alias("lo"), hi.alias("hi"))
 
 
 def station_chunks(spark, sf_dir):
@@ -152,7 +157,11 @@ def snapshot_path(spark, sf_dir):
 
 
 def limit_export(spark, sf_dir):
-    return _table(spark, sf_dir, "lineitem").limit(1000).agg(F.count("*").alias("n"))
+    """Any 1000 rows of a table, exported: how many there are, and how many of them the table has."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    rows = _table(spark, sf_dir, "lineitem").select(*keys)
+    some = spark.read.parquet(export(rows, fresh_path(spark, "limit"), keys, 1000))
+    return some.join(rows.distinct().withColumn("there", F.lit(1)), keys, "left").agg(F.count("*").alias("n"), F.count("there").alias("n_of_table"))
 
 
 def queries() -> dict:
@@ -162,6 +171,7 @@ def queries() -> dict:
         "canonical_stations": _canonical(stations=[3, 7, 11]),
         "canonical_to_date": _canonical(start=date(2024, 1, 5), end=date(2024, 1, 10)),
         "canonical_to_instant": _canonical(start=date(2024, 1, 5), end=datetime(2024, 1, 10)),
+        "canonical_days_back": _canonical(days_back=7, as_of=date(2024, 1, 25)),
         "series_single": series_single,
         "daily_mean": daily_mean,
         "latest_per_station": latest_per_station,
@@ -192,6 +202,7 @@ def queries() -> dict:
         "stamped_name": stamped_name,
         "snapshot_path": snapshot_path,
         "limit_export": limit_export,
+        **file_queries.queries(),
     }
 
 
@@ -216,6 +227,7 @@ def oracle_sql() -> dict[str, str]:
         "canonical_stations": _can("WHERE user_id IN (3, 7, 11)"),
         "canonical_to_date": _can("WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00'"),
         "canonical_to_instant": _can("WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-10 00:00:00'"),
+        "canonical_days_back": _can("WHERE ts >= TIMESTAMP '2024-01-18 00:00:00'"),
         "series_single": f"SELECT user_id, ts, value FROM ({_can("WHERE event_type = 'view' AND user_id = 7")}) c ORDER BY ts",
         "daily_mean": f"SELECT user_id, CAST(ts AS DATE) AS date_day, avg(value) AS mean_c, count(*) AS n_obs FROM ({_can()}) c GROUP BY ALL",
         "latest_per_station": f"SELECT user_id, ts, value FROM (SELECT c.*, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS r2 FROM ({view}) c) y WHERE r2 = 1",
@@ -240,11 +252,12 @@ def oracle_sql() -> dict[str, str]:
         "case_when_name": "SELECT event_id, CASE WHEN event_type = 'view' THEN 'Water temperature' WHEN event_type = 'click' THEN 'Discharge (daily mean)' ELSE NULL END AS name_en FROM events",
         "safe_cast": "SELECT p_partkey, TRY_CAST(substr(p_brand, 7) AS DOUBLE) AS v, TRY_CAST(p_type AS DOUBLE) AS bad FROM part",
         "na_poison_max": "SELECT CASE WHEN count(*) = count(v) THEN max(v) END AS m_strict, max(v) AS m FROM (SELECT nullif(l_quantity, 7) AS v FROM lineitem) x",
-        "values_range": "SELECT min(ts) AS lo, max(ts) AS hi FROM events WHERE event_type = 'view'",
+        "values_range": "SELECT event_type, CASE WHEN count(*) = count(t) THEN min(t) END AS lo, CASE WHEN count(*) = count(t) THEN max(t) END AS hi FROM (SELECT event_type, CASE WHEN event_type <> 'error' OR user_id % 2 = 0 THEN ts END AS t FROM events) x GROUP BY event_type",
         "station_chunks": "SELECT CAST(ceil(row_number() OVER (ORDER BY user_id) / 50.0) AS INTEGER) AS chunk, user_id FROM (SELECT DISTINCT user_id FROM events) u",
         "page_sorted": "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10",
         "fill_down": "SELECT s_suppkey, last_value(z IGNORE NULLS) OVER (ORDER BY s_nationkey ASC NULLS LAST, s_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM (SELECT s_suppkey, s_nationkey, nullif(s_nationkey, 20) AS z FROM supplier) s",
         "stamped_name": "SELECT 'readings_' || strftime(max(ts), '%Y%m%d') AS out_table FROM events WHERE event_type = 'view'",
         "snapshot_path": "SELECT strftime(max(ts), '%Y/%m/snapshot_%Y-%m-%d') AS p FROM events",
-        "limit_export": "SELECT count(*) AS n FROM (SELECT * FROM lineitem LIMIT 1000) x",
+        "limit_export": "SELECT count(*) AS n, count(*) AS n_of_table FROM (SELECT * FROM lineitem LIMIT 1000) x",
+        **file_queries.oracle_sql(),
     }

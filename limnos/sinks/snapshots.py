@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql.types import StructType
 from limnos.operators.tidy import strict_max
 from limnos.plans.canonical import Readings
 from limnos.schema import DATE, READINGS
-from limnos.sources.snapshots import exists
+from limnos.sources.files import delete, exists, replace
 
 log = logging.getLogger(__name__)
 
@@ -28,23 +29,29 @@ def snapshot_path(root: str, as_of: date) -> str:
 def write_snapshot(df: DataFrame, root: str, as_of: date, schema: StructType = READINGS) -> DataFrame:
     """Write the day's snapshot, in place of one of the same day, and give its summary.
 
-    Rows stream from their tasks to the files. What was written is read again: a snapshot without rows or
-    without the date column is an error.
+    Rows stream from their tasks to the files of a hidden folder, which is read again: a snapshot without rows or
+    without the date column is an error and leaves the day's earlier one as it was. Only a good one takes its place.
     """
-    path = snapshot_path(root, as_of)
-    df.write.mode("overwrite").parquet(path)
-    return verify_snapshot(df.sparkSession, path)
-
-
-def verify_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The summary of a written snapshot, as one row."""
-    df = spark.read.parquet(path)
+    spark, path = df.sparkSession, snapshot_path(root, as_of)
+    fresh = f"{root.rstrip('/')}/_incoming/{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(fresh)
+        summary = verify_snapshot(spark, fresh, path)
+        replace(spark, fresh, path)
+    finally:
+        delete(spark, fresh)
+    return summary
+
+
+def verify_snapshot(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """The summary of a written snapshot, as one row. name: what messages call it, else the path."""
+    df, name = spark.read.parquet(path), name or path
     if DATE not in df.columns:
-        raise SnapshotError(f"{path} has no column {DATE}")
+        raise SnapshotError(f"{name} has no column {DATE}")
     row = Readings().summary(df).first()
     if not row["n_rows"]:
-        raise SnapshotError(f"{path} has no rows")
-    log.info("%s: %s rows of %s stations, %s to %s", path, f"{row['n_rows']:,}", row["stations"], row["min_date"], row["max_date"])
+        raise SnapshotError(f"{name} has no rows")
+    log.info("%s: %s rows of %s stations, %s to %s", name, f"{row['n_rows']:,}", row["stations"], row["min_date"], row["max_date"])
     return spark.createDataFrame([row], "n_rows long, stations long, min_date timestamp, max_date timestamp")
 
 

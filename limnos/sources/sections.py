@@ -28,12 +28,25 @@ def _sections(text: str) -> tuple[list[str], list[str], list[list[str]]]:
     return [*about, *[None] * (3 - len(about))], body[0] if body else [], [r for r in body[1:] if r]
 
 
+def _headers(files: DataFrame) -> list[str]:
+    """Columns of all bodies, in the order of their first file and place there; only they leave the tasks."""
+
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"], strict=True):
+                header = _sections(bytes(content).decode())[1]
+                yield pd.DataFrame({"path": path, "place": range(len(header)), "name": header})
+
+    rows = files.select("path", "content").mapInPandas(parse, "path string, place int, name string")
+    first = rows.groupBy("name").agg(F.min(F.struct("path", "place")).alias("at"))
+    return [r["name"] for r in first.orderBy("at").collect()]
+
+
 def scan_sections(spark: SparkSession, path: str, columns: list[str] | None = None, time: str = "Time") -> DataFrame:
-    """Readings of all such files under a path. columns: those of the body, else those of the first file."""
+    """Readings of all such files under a path, null where a file lacks a column. columns: those of the body, else those of all files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(path)
     if columns is None:
-        first = files.orderBy("path").select(F.decode("content", "utf-8").alias("t")).first()
-        columns = _sections(first["t"])[1] if first else [time]
+        columns = _headers(files) or [time]
     schema = ", ".join(f"`{c}` string" for c in [*ABOUT, *columns])
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

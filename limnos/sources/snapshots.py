@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from limnos.schema import READINGS
+from limnos.sources.files import exists
 
 log = logging.getLogger(__name__)
 
@@ -19,8 +20,8 @@ def scan_snapshots(spark: SparkSession, root: str, schema: StructType = READINGS
 
 
 def scan_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """One table of many files of one shape."""
-    return spark.read.parquet(*paths)
+    """One table of many files: columns of all of them, null where a file lacks one; a column of two types is an error."""
+    return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
 def scan_sql(spark: SparkSession, path: str, sql: str, **args) -> DataFrame:
@@ -53,11 +54,6 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def optional(spark: SparkSession, path: str, schema: StructType, read=None) -> DataFrame:
     """The table at a path, or an empty one with a warning where there is none."""
     if exists(spark, path):

@@ -8,7 +8,11 @@ from pyspark.sql.types import StructType
 
 from limnos.plans.canonical import Readings
 from limnos.schema import READINGS
-from limnos.sources.snapshots import exists
+from limnos.sources.files import children, delete, exists
+
+
+class StreamError(RuntimeError):
+    """Generations that don't follow each other."""
 
 
 def stream_snapshots(spark: SparkSession, root: str, schema: StructType = READINGS, files: int = 1000) -> DataFrame:
@@ -16,26 +20,42 @@ def stream_snapshots(spark: SparkSession, root: str, schema: StructType = READIN
     return spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", files).parquet(root)
 
 
-def keep_current(stream: DataFrame, path: str, checkpoint: str, readings: Readings | None = None, **trigger) -> StreamingQuery:
+def generations(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete generations under a path, ascending."""
+    return sorted(int(name.split("=")[1]) for name in children(spark, path) if name.startswith("generation=") and exists(spark, f"{path}/{name}/_SUCCESS"))
+
+
+def keep_current(stream: DataFrame, path: str, checkpoint: str, readings: Readings | None = None, keep: int = 2, **trigger) -> StreamingQuery:
     """Keep the canonical readings of all that came so far under path, a generation for each batch.
 
     A batch is merged with the generation before it and written as the next one, so a batch that is run again
-    after a failure writes the same rows; late corrections win by their version as in a batch query.
+    after a failure writes the same rows; late corrections win by their version as in a batch query. The last `keep`
+    generations stay. A batch whose generation before is missing is an error, as older readings would be lost, and so is
+    a stream that starts anew over a path that holds generations of another one.
     """
     readings = readings or Readings()
+    if keep < 2:
+        raise ValueError("a batch that is run again needs the generation before its own")
 
     def merge(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        last = f"{path}/generation={n - 1}"
-        rows = batch if n == 0 or not exists(spark, last) else batch.unionByName(spark.read.schema(batch.schema).parquet(last))
+        done = generations(spark, path)
+        if n and n - 1 not in done:
+            raise StreamError(f"{path} has no generation {n - 1} to go on from")
+        if not n and any(done):
+            raise StreamError(f"{path} holds generations of another stream; its checkpoint isn't {checkpoint}")
+        rows = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/generation={n - 1}")) if n else batch
         readings.canonical(rows).write.mode("overwrite").parquet(f"{path}/generation={n}")
+        for old in done:
+            if old <= n - keep:
+                delete(spark, f"{path}/generation={old}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def current(spark: SparkSession, path: str, schema: StructType = READINGS) -> DataFrame:
     """The last complete generation."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(root) if exists(spark, f"{f.getPath()}/_SUCCESS")]
-    return spark.read.schema(schema).parquet(f"{path}/generation={max(done)}")
+    done = generations(spark, path)
+    if not done:
+        raise StreamError(f"{path} has no complete generation")
+    return spark.read.schema(schema).parquet(f"{path}/generation={done[-1]}")

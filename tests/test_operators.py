@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from limnos.functions import scalars
 from limnos.operators import latest, sets, tidy
 from limnos.operators.amalgamate import amalgamate, counts_agree, overlap_counts
+from limnos.operators.places import zone_of
 
 KEYS = ["k", "v"]
 
@@ -110,3 +111,12 @@ def test_scalars(spark):
     when = F.lit(datetime(2026, 5, 14))
     row = df.select(scalars.stamped("raw", when), scalars.snapshot_name(when), scalars.grouped(F.lit(1234567)), scalars.days_between(F.to_date(F.lit("2026-05-01")), F.to_date(when)), scalars.chunk_of(F.lit(51))).first()
     assert tuple(row) == ("raw_20260514", "2026/05/snapshot_2026-05-14", "1,234,567", 13, 2)
+
+
+def test_zones_of_points(spark):
+    rings = {"a": [(0, 0), (4, 0), (4, 4), (0, 4)], "b": [(2, 2), (6, 2), (6, 6), (2, 6), (2, 2)], "bent": [(-9, -9), (-1, -9), (-9, -1)]}
+    zones = spark.createDataFrame([(k, [(float(x), float(y)) for x, y in v]) for k, v in rings.items()], "zone string, ring array<struct<lon:double,lat:double>>")
+    want = {(1, 1): "a", (3, 3): "a", (5, 5): "b", (5, 1): None, (-8, -8): "bent", (-2, -2): None, (-2, -8.5): "bent", (100, 50): None, (None, 1): None}
+    points = spark.createDataFrame([(None if x is None else float(x), float(y)) for x, y in want], "lon double, lat double")
+    got = [(r["lon"], r["lat"], r["zone"]) for r in zone_of(points, zones).collect()]
+    assert sorted(got, key=str) == sorted([(None if x is None else float(x), float(y), z) for (x, y), z in want.items()], key=str)

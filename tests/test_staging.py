@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from limnos.plans.staging import bounded_join, drop_staged, let, shared_dir, stage
@@ -24,3 +25,16 @@ def test_let_evaluates_once(spark):
     assert plan.count() == 3
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("xxhash64") == 1
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
