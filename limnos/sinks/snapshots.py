@@ -39,7 +39,7 @@ def write_snapshot(df: DataFrame, root: str, as_of: date, schema: StructType = R
         summary = verify_snapshot(spark, fresh, path)
         replace(spark, fresh, path)
     finally:
-        delete(spark, fresh)
+        delete(spark, fresh)  # what was refused; a good one isn't there any more
     return summary
 
 

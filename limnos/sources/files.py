@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -22,14 +23,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def _moved(fs, path, to) -> bool:
+    """Whether a move went well; some file systems raise where others say no."""
+    try:
+        return fs.rename(path, to)
+    except Py4JJavaError:
+        return False
+
+
 def replace(spark: SparkSession, path: str, to: str) -> None:
-    """Move a folder to where another one may be, which goes only once the new one is in reach beside it."""
+    """Move a folder to where another one may be. The other one steps aside first and comes back if the move fails."""
     fs, here = at(spark, path)
     _, there = at(spark, to)
+    _, aside = at(spark, f"{path}-before")
     fs.mkdirs(there.getParent())
-    fs.delete(there, True)
-    if not fs.rename(here, there):
+    had = fs.exists(there)
+    if had and not _moved(fs, there, aside):
+        raise OSError(f"{to} could not be moved away")
+    if not _moved(fs, here, there):
+        if had:
+            _moved(fs, aside, there)
         raise OSError(f"{path} could not be moved to {to}")
+    fs.delete(aside, True)
 
 
 def children(spark: SparkSession, path: str) -> list[str]:

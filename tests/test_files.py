@@ -11,7 +11,7 @@ from limnos.schema import READINGS
 from limnos.sinks import mirror, pages
 from limnos.sinks import snapshots as sink
 from limnos.sources import mdb, sections, snapshots, sqlite, stations
-from limnos.sources.files import children, delete
+from limnos.sources.files import children, delete, replace
 from limnos.streaming import current
 
 ROW = ("a", 5.0, datetime(2026, 5, 1), 1.0, None, None, None, None, None, None, datetime(2026, 5, 14))
@@ -44,6 +44,17 @@ def test_bad_snapshots_are_errors(spark, readings, tmp_path):
     assert snapshots.scan_snapshots(spark, f"{tmp_path}/r").count() == 1 and children(spark, f"{tmp_path}/r/_incoming") == []
 
 
+def test_a_folder_comes_back_when_its_successor_cannot_take_its_place(spark, tmp_path):
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "x").write_text("kept")
+    with pytest.raises(OSError, match="could not be moved"):
+        replace(spark, f"{tmp_path}/none", f"{tmp_path}/old")
+    assert (tmp_path / "old" / "x").read_text() == "kept"
+    (tmp_path / "new").mkdir()
+    replace(spark, f"{tmp_path}/new", f"{tmp_path}/old")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["old"] and not (tmp_path / "old" / "x").exists()
+
+
 def test_exports(spark, readings, tmp_path):
     path = sink.export_stamped(readings, str(tmp_path), "raw")
     assert path.endswith("raw_20260501") and spark.read.parquet(path).count() == 1
