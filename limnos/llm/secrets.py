@@ -327,7 +327,7 @@ def find_secrets(docs: DataFrame, net: Network | None = None, id_col: str = "doc
 
 
 def redact(docs: DataFrame, net: Network | None = None, text_col: str = "text") -> DataFrame:
-    """docs with each finding in the text replaced (overlapping ones once); other columns and null texts stay."""
+    """docs with each finding in the text replaced (overlapping ones once); other columns, whatever their names, and null texts stay."""
     small_batches(docs)
     net = net or default_network()
     names = docs.columns
