@@ -423,22 +423,25 @@ class JaccardJoin:
         """The rows whose key is among ids (staged); beyond a bound they are joined by shuffling."""
         return rows.join(F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids, key, "left_semi")
 
-    def _candidates(self, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(cid, n, front) and (cid, set) of the classes in lists, staged: the second and last reading of texts, one of each class."""
-        t = self.threshold
-        cids = lists.select("cid").distinct()
-        front = F.slice("prefix", F.lit(1), (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")).alias("front")
-        fronts = stage(self.classes.join(cids, "cid", "left_semi").select("cid", "n", "pick", front), "fronts")
-        picks = fronts.select("pick").distinct()
-        sets = self._sets(prefix=False, only=self._of(self.texts, picks, "pick")).groupBy("cid").agg(F.first("set").alias("set"))
-        return fronts.drop("pick"), stage(sets, "whole")
-
-    def _likely(self, pairs: DataFrame, fronts: DataFrame) -> DataFrame:
+    def _whole_sets(self, cids: DataFrame) -> DataFrame:
+        """(cid, set) of classes (staged), staged: another reading of texts, one of each class."""
+        picks = self._of(self.rows.filter("n > 0"), cids, "cid").groupBy("cid", "pick").agg(F.count("*").alias("copies"))
+        picks = stage(picks.groupBy("cid").agg(F.min("pick").alias("pick"), F.min_by("copies", "pick").alias("copies")), "picks")
+        sets = self._sets(prefix=False, only=self._of(self.texts, picks.select("pick"), "pick")).select("cid", "set")
+        if picks.filter("copies > 1").limit(1).count():  # only repeated rows must be brought together
+            sets = sets.groupBy("cid").agg(F.first("set").alias("set"))
+        sets = stage(sets, "whole")
+        drop_staged(picks)
+        return sets
+
+    def _likely(self, pairs: DataFrame, cids: DataFrame) -> DataFrame:
         """The pairs whose sets have as many keys in common among the fronts of their sets as a link asks for.
 
         Of an overlap of o, at most need - 1 are behind the front of the set whose front ends first.
         """
         t = self.threshold
+        fronts = self._of(self.rows.filter("n > 0"), cids, "cid").groupBy("cid", "n").agg(F.first("prefix").alias("prefix"))
+        fronts = fronts.select("cid", "n", F.slice("prefix", F.lit(1), (F.col("n") - F.ceil(F.col("n") * t / 100) + 1).cast("int")).alias("front"))
         side = lambda x: fronts.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("front").alias(f"f{x}"))
         both = F.size(F.array_intersect("fa", "fb"))
         asked = F.ceil((F.col("na") + F.col("nb")) * t / (100 + t)) - F.ceil(F.greatest("na", "nb") * t / 100) + 1
@@ -452,13 +455,21 @@ class JaccardJoin:
         t = self.threshold
         by_list = lambda df: df.repartition("key").sortWithinPartitions("key", "n", "cid")
         lists = stage(by_list(self.postings()).mapInArrow(lambda x: _shared(x, t), "key long, cid long, n long, place long, large boolean"), "lists")
-        fronts, whole = self._candidates(lists)
         seen, labels = [], None
+        whole: list[DataFrame] = []  # sets read so far: those of the first turn and the few that others ask for
+
+        def classes_of(pairs: DataFrame) -> DataFrame:
+            return stage(pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct(), "cids")
 
-        def among(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-            """The rows of the classes in pairs (staged)."""
-            cids = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-            return self._of(rows, cids, "cid")
+        def sets_of(cids: DataFrame) -> DataFrame:
+            """The sets of classes (staged); only those that no turn has read yet are made from texts."""
+            more = cids
+            for part in whole:
+                more = more.join(part.select("cid"), "cid", "left_anti")
+            more = stage(more, "more") if whole else cids
+            if more.limit(1).count() or not whole:
+                whole.append(self._whole_sets(more))
+            return self._of(reduce(DataFrame.unionByName, whole), cids, "cid")
 
         def labelled() -> DataFrame:
             if labels is None:
@@ -471,22 +482,27 @@ class JaccardJoin:
             for done in seen:
                 pairs = pairs.join(done, ["a", "b"], "left_anti")
             pairs = stage(pairs.distinct(), "pairs")
+            cids = classes_of(pairs)
             if sift:
-                every_pair, pairs = pairs, stage(self._likely(pairs, among(fronts, pairs)), "likely")
-                drop_staged(every_pair)
-            seen.append(stage(_verified(pairs, among(whole, pairs)), "seen"))
-            drop_staged(pairs)
+                every_pair, every_cid = pairs, cids
+                pairs = stage(self._likely(pairs, cids), "likely")
+                cids = classes_of(pairs)
+                drop_staged(every_pair, every_cid)
+            seen.append(stage(_verified(pairs, sets_of(cids)), "seen"))
+            drop_staged(pairs, cids)
             row = seen[-1].agg(F.count("*").alias("n"), F.count_if(self._links()).alias("links")).first()
             return row["n"], row["links"]
 
         every_seen = lambda: reduce(DataFrame.unionByName, seen)
         for turn in range(TURNS):
             tried, linked = verify(labelled().mapInArrow(lambda x, turn=turn: _led(x, t, turn), "a long, b long"))
-            labels = components(every_seen().filter(self._links()))
+            if linked:
+                labels = components(every_seen().filter(self._links()))
             if linked * 20 < tried or not tried:
                 break
-        verify(labelled().mapInArrow(lambda x: _others(x, t, every), "a long, b long"), sift=True)
-        drop_staged(lists, fronts, whole)
+        _, linked = verify(labelled().mapInArrow(lambda x: _others(x, t, every), "a long, b long"), sift=True)
+        self.labels = None if linked else labels  # those of the turns hold where the last pairs gave no link
+        drop_staged(lists, *whole)
         return every_seen()
 
     def _links(self):
@@ -504,9 +520,11 @@ class JaccardJoin:
     def groups(self) -> DataFrame:
         """id, n_shingles and component_id of each row: the smallest id that links reach, its own included.
 
-        An empty set has its own id. Ids that are null lose to others; repeated rows are in one component.
+        An empty set has its own id. Ids that are null lose to others; repeated rows are in one component; a very long
+        text is a block of its own; no rows give no rows.
         """
-        labels = components(self.overlaps().filter(self._links()))
+        pairs = self.overlaps()
+        labels = components(pairs.filter(self._links())) if self.labels is None else self.labels
         classes = self.rows.filter("n > 0").groupBy("cid").agg(F.min("id").alias("least"))
         labelled = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
         least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
