@@ -12,14 +12,17 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN = 24
+HIDDEN = 20
 GROUP = 64
 GROUPS = 32
 TAILS = 64
 WINDOW = 16
 STREAMS = 128
-#: Rows of states whose outputs are computed together.
-ROWS = 32_768
+#: Rows of states whose outputs are computed together, and documents whose states are, so that both stay in the cache.
+ROWS = 8192
+TOGETHER = 1024
+#: The exponents of a softmax may span so much before single precision loses its largest term.
+SPAN = 60.0
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -72,15 +75,40 @@ class Gru:
             at += a.size
         return Gru(**out, end=self.end)
 
+    # ---- softmax ----
+
+    @staticmethod
+    def _shift(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bias less a bound of the logits, whether that may stand for their maximum): states are within -1 and 1."""
+        most = np.abs(weights).sum(axis=-2)
+        top = (bias + most).max(axis=-1)
+        return (bias - top[..., None]).astype(bias.dtype), top - (bias - most).max(axis=-1) < SPAN
+
+    @staticmethod
+    def _exp(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, bounded) -> tuple[np.ndarray, np.ndarray]:
+        """(shifted logits, their exponentials)."""
+        logits = h @ weights
+        logits += bias
+        if not bounded:
+            logits -= logits.max(axis=1, keepdims=True)
+        return logits, np.exp(logits)
+
     # ---- scoring ----
 
     def step(self, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         x = self.table[symbols]
         g = h @ self.rec
-        zr = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * (g[:, 2 * HIDDEN :] + self.rec_b))
-        return n + z * (h - n)
+        x[:, : 2 * HIDDEN] += g[:, : 2 * HIDDEN]
+        zr = _sigmoid(x[:, : 2 * HIDDEN])
+        n = g[:, 2 * HIDDEN :]
+        n += self.rec_b
+        n *= zr[:, HIDDEN:]
+        n += x[:, 2 * HIDDEN :]
+        n = np.tanh(n)
+        out = h - n
+        out *= zr[:, :HIDDEN]
+        out += n
+        return out
 
     def _grouped(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
         """(class of each target, an order that sorts them by class, (group, start, end) of the head words in that order)."""
@@ -93,20 +121,17 @@ class Gru:
         """Natural log of the probability of each target after its state."""
         cls, order, groups = self._grouped(targets)
         every = np.arange(len(h))
-        logits = h @ self.cls
-        logits += self.cls_b
-        logits -= logits.max(axis=1, keepdims=True)
+        logits, e = self._exp(h, self.cls, *self._shift(self.cls, self.cls_b))
         out = logits[every, cls]
-        out -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        out -= np.log(e.sum(axis=1))
         last = groups[-1][2] if groups else 0
         order = order[:last]  # the head words
         states, words, found = h[order], targets[order] % GROUP, np.empty(last, h.dtype)
+        bias, bounded = self._shift(self.out, self.out_b)
         for k, x, y in groups:
-            inner = states[x:y] @ self.out[k]
-            inner += self.out_b[k]
-            inner -= inner.max(axis=1, keepdims=True)
+            inner, e = self._exp(states[x:y], self.out[k], bias[k], bounded[k])
             found[x:y] = inner[every[: y - x], words[x:y]]
-            found[x:y] -= np.log(np.exp(inner, out=inner).sum(axis=1))
+            found[x:y] -= np.log(e.sum(axis=1))
         out[order] += found
         return out
 
@@ -114,9 +139,16 @@ class Gru:
         """Natural log-likelihood of each whole document (symbols[offsets[i]:offsets[i+1]], its end included)."""
         lengths = np.diff(offsets)
         order = np.argsort(-lengths, kind="stable")
-        starts, lengths = offsets[:-1][order], lengths[order]
-        total = np.zeros(len(order))
-        if not len(order) or not lengths[0]:
+        out = np.zeros(len(order))
+        for at in range(0, len(order), TOGETHER):
+            some = order[at : at + TOGETHER]
+            out[some] = self._score(symbols, offsets[:-1][some], lengths[some])
+        return out
+
+    def _score(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """score() of documents side by side, the longest first."""
+        total = np.zeros(len(starts))
+        if not lengths[0]:
             return total
         alive = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")  # documents longer than t
         h = np.zeros((int(alive[0]), HIDDEN), np.float32)
@@ -145,9 +177,7 @@ class Gru:
                 held = 0
         if states:
             flush()
-        out = np.zeros(len(order))
-        out[order] = total
-        return out
+        return total
 
     # ---- training ----
 
@@ -226,10 +256,7 @@ class Gru:
         m = h.dtype.type(1 / len(h))
         cls, order, groups = self._grouped(targets)
         every = np.arange(len(h))
-        p = h @ self.cls
-        p += self.cls_b
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
+        p = self._exp(h, self.cls, *self._shift(self.cls, self.cls_b))[1]
         p *= m / p.sum(axis=1, keepdims=True)
         p[every, cls] -= m
         grads = {"cls": h.T @ p, "cls_b": p.sum(0), "out": np.zeros_like(self.out), "out_b": np.zeros_like(self.out_b)}
@@ -237,11 +264,9 @@ class Gru:
         last = groups[-1][2] if groups else 0
         order = order[:last]
         states, words, d_states = h[order], targets[order] % GROUP, np.empty((last, HIDDEN), h.dtype)
+        bias, bounded = self._shift(self.out, self.out_b)
         for k, x, y in groups:
-            q = states[x:y] @ self.out[k]
-            q += self.out_b[k]
-            q -= q.max(axis=1, keepdims=True)
-            np.exp(q, out=q)
+            q = self._exp(states[x:y], self.out[k], bias[k], bounded[k])[1]
             q *= m / q.sum(axis=1, keepdims=True)
             q[every[: y - x], words[x:y]] -= m
             np.matmul(states[x:y].T, q, out=grads["out"][k])

@@ -29,8 +29,9 @@ from limnos.plans.staging import stage
 
 HEAD = GROUP * GROUPS
 KNOWN = 200_000
-#: Tokens counted, or scored, together in a task.
+#: Tokens counted, and scored, together in a task: the more documents go side by side, the fewer steps a token costs.
 CHUNK = 2_000_000
+SCORED = 5_000_000
 #: One training document of SHARE trains the weights (1: all do), in ROUNDS rounds of tasks of about TASK_TOKENS in so
 #: many streams; WARM documents of WARM_CHARS at most start them.
 SHARE = 1
@@ -187,7 +188,8 @@ def likelihoods(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
 
     Returns the id, training, n_tokens, n_known, train_tokens, base_score (add-0.1 unigram) and score (the
     model), in log10. A null or empty text is one end token; repeated rows get equal scores up to rounding;
-    with no training rows every count is 0.
+    with no training rows every count is 0; a very long text is scored as a whole, its state carried all through;
+    other columns are left out, whatever their names; no rows give no rows.
     """
     small_batches(docs)
     spark = docs.sparkSession
@@ -228,7 +230,7 @@ def likelihoods(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
             own = np.where(tail, log_c - known.tail_log[symbols & (TAILS - 1)], 0.0)
             held.append((part.column(0), part.column(1), symbols.astype(np.int32), np.diff(offsets), sums((c > 0).astype(np.int64)), sums(log_c), sums(own), h[~there], sums((~there).astype(np.int64))))
             n += len(h)
-            if n >= CHUNK:
+            if n >= SCORED:
                 yield out()
                 held, n = [], 0
         if held:
