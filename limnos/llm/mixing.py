@@ -151,12 +151,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     limits = stage(groups.groupBy(*SOURCE).agg(F.max("whole").alias("whole"), last), "mix-limits")
     rows, at = _sourced(docs, id_col, text_col, source_col)
     back = [F.col(new).alias(name) for name, new in at.items()]
-    rows = bounded_join(rows, limits, SOURCE, "inner")
     end = F.struct(*[F.col(f"last.{c}").alias(c) for c in ORDER])
     before = F.col("last").isNotNull() & (size > 0) & (F.struct(*ORDER) < end)
-    out = _keyed(rows).withColumn("copies", F.col("whole") + F.coalesce(before, F.lit(False)).cast("long"))
+    # the join stands between the counting of words and the filter, which would else be put below it and count again
+    out = bounded_join(_keyed(rows), limits, SOURCE, "inner").withColumn("copies", F.col("whole") + F.coalesce(before, F.lit(False)).cast("long"))
     out = out.filter("copies > 0").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    ends = rows.filter(F.col("x") == F.col("last.x")).dropDuplicates([*SOURCE, "x"]).withColumn("copies", F.col("last.extra"))
+    ends = bounded_join(rows, limits, SOURCE, "inner").filter(F.col("x") == F.col("last.x")).dropDuplicates([*SOURCE, "x"]).withColumn("copies", F.col("last.extra"))
     return out.select(*back).unionByName(_repeated(ends, "copies", "i").select(*back))
 
 
