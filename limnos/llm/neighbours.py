@@ -37,9 +37,10 @@ TABLES = 6
 WIDTH = 1.6
 MOST_PROBES = 24
 MOST_PROJECTIONS = 20
-#: Classes that a bucket should hold; classes and queries beyond which it is dealt out.
+#: Classes that a bucket should hold; classes and queries beyond which it is dealt out. Each share of classes gives
+#: every query its own nearest, so classes are dealt out only where a task would hold too many; shares of queries add none.
 FILL = 2048
-BUCKET = 2048
+BUCKET = 8192
 VISITS = 1024
 #: Sample queries for the choice of parameters, and the recall asked of them.
 SAMPLE = 128
