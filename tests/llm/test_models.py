@@ -292,6 +292,28 @@ def test_findings_equal_those_of_every_block_with_every_template():
         assert [f[:3] for f in licenses.scan(text)] == every_block(text)
 
 
+def test_templates_that_shrink_a_block_are_the_candidates(monkeypatch):
+    plain, known = licenses.templates()
+    r = random.Random(9)
+    filler = "the of and software license copyright licensed under version general by 4.0 word other mot und der".split()
+    for _ in range(40):
+        k = r.randrange(len(known))
+        block = [*r.choices(filler, k=r.randint(0, 30)), "x" * r.choice([1, 200_000]), *known[k][1], *r.choices(filler, k=r.randint(0, 30))]
+        got = licenses.shrunk(block)
+        assert got[k]
+        for at in range(0, max(1, len(block) - 8), 8):
+            data = " ".join(w[:20] for w in block[at : at + 16]).encode()
+            for i, (_, _, compressor, _, _) in enumerate(known):
+                less = len(plain.compress(data)) - len(compressor.compress(data))
+                assert at in got.get(i, []) if less >= licenses.LEAST_SAVED else less >= 1 or at not in got.get(i, [])
+    line = "some words Released under the MIT License and Licensed under CC BY 4.0"
+    mit = next(k for k, t in enumerate(licenses.TEMPLATES) if t == ("MIT", "Released under the MIT License"))
+    monkeypatch.setattr(licenses, "shrunk", lambda block: {mit: [0]})
+    assert [f[0] for f in licenses.scan(line)] == ["MIT"]
+    monkeypatch.setattr(licenses, "shrunk", lambda block: {})
+    assert licenses.scan(line) == []
+
+
 def test_alignment():
     assert licenses.align("a b c d".split(), "x a b q c d y".split()) == (1, 1, 6, ["+q"])
     assert licenses.align("a b c".split(), "z a c".split()) == (1, 1, 3, ["-b"])
