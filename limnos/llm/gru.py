@@ -18,22 +18,14 @@ GROUPS = 32
 TAILS = 64
 WINDOW = 16
 STREAMS = 128
-#: Rows of states whose outputs are computed together, and documents whose states are, so that both stay in the cache.
+#: Rows of states whose outputs are computed together (in training: PART), and documents whose states are, so that they stay in the cache.
 ROWS = 8192
+PART = 2048
 TOGETHER = 1024
 #: The exponents of a softmax may span so much before single precision loses its largest term.
 SPAN = 60.0
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """The logistic function, in place."""
-    x *= 0.5
-    np.tanh(x, out=x)
-    x *= 0.5
-    x += 0.5
-    return x
-
-
 @dataclass
 class Gru:
     """Weights: symbol table (input side, three gates), recurrence, class output, word output by group."""
@@ -85,53 +77,81 @@ class Gru:
         return (bias - top[..., None]).astype(bias.dtype), top - (bias - most).max(axis=-1) < SPAN
 
     @staticmethod
-    def _exp(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, bounded) -> tuple[np.ndarray, np.ndarray]:
-        """(shifted logits, their exponentials)."""
-        logits = h @ weights
-        logits += bias
+    def _with_one(h: np.ndarray) -> np.ndarray:
+        """States and a one, which meets the bias as the last row of the weights."""
+        out = np.empty((len(h), HIDDEN + 1), h.dtype)
+        out[:, :HIDDEN], out[:, HIDDEN] = h, 1
+        return out
+
+    def _outer(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(class weights, bounded, word weights by group, bounded by group) with the shifted biases as last rows."""
+        (cls_b, bounded), (out_b, inner) = self._shift(self.cls, self.cls_b), self._shift(self.out, self.out_b)
+        return np.concatenate([self.cls, cls_b[None]]), bounded, np.concatenate([self.out, out_b[:, None]], axis=1), inner
+
+    @staticmethod
+    def _logits(h1: np.ndarray, weights: np.ndarray, bounded) -> np.ndarray:
+        """Shifted logits."""
+        logits = h1 @ weights
         if not bounded:
             logits -= logits.max(axis=1, keepdims=True)
-        return logits, np.exp(logits)
+        return logits
+
+    def _grouped(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """(class of each target, an order that sorts them by class, (class, start, end) in that order; head words come first)."""
+        cls = np.where(targets < GROUPS * GROUP, targets // GROUP, targets - GROUPS * GROUP + GROUPS).astype(np.int16)
+        order = np.argsort(cls, kind="stable")
+        edges = np.append(0, np.cumsum(np.bincount(cls, minlength=GROUPS + TAILS))).tolist()
+        return cls, order, [(k, x, y) for k, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if y > x]
 
     # ---- scoring ----
 
-    def step(self, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        x = self.table[symbols]
-        g = h @ self.rec
-        x[:, : 2 * HIDDEN] += g[:, : 2 * HIDDEN]
-        zr = _sigmoid(x[:, : 2 * HIDDEN])
-        n = g[:, 2 * HIDDEN :]
-        n += self.rec_b
-        n *= zr[:, HIDDEN:]
-        n += x[:, 2 * HIDDEN :]
-        n = np.tanh(n)
+    @staticmethod
+    def _gates(w: np.ndarray) -> np.ndarray:
+        """Columns by gate, each gate contiguous; those of the sigmoids are halved, as these are tanh of the half."""
+        out = np.ascontiguousarray(np.moveaxis(w.reshape(*w.shape[:-1], 3, HIDDEN), -2, 0))
+        out[:2] *= 0.5
+        return out
+
+    def _next(self, h: np.ndarray, x: np.ndarray, rec: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(state, both sigmoids, candidate, its recurrent part) after h. x: the input by gate; its sigmoids' part is lost."""
+        g = np.matmul(h, rec)
+        zr, gn = x[:2], g[2]
+        zr += g[:2]
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        gn += self.rec_b
+        n = zr[1] * gn
+        n += x[2]
+        np.tanh(n, out=n)
         out = h - n
-        out *= zr[:, :HIDDEN]
+        out *= zr[0]
         out += n
-        return out
+        return out, zr, n, gn
 
-    def _grouped(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
-        """(class of each target, an order that sorts them by class, (group, start, end) of the head words in that order)."""
-        cls = np.where(targets < GROUPS * GROUP, targets // GROUP, targets - GROUPS * GROUP + GROUPS).astype(np.int16)
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(GROUPS + 1)).tolist()
-        return cls, order, [(k, x, y) for k, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if y > x]
+    def step(self, h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        return self._next(h, self._gates(self.table.take(symbols, axis=0)), self._gates(self.rec))[0]
 
-    def log_probs(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each target after its state."""
+    def log_probs(self, h: np.ndarray, targets: np.ndarray, outer=None) -> np.ndarray:
+        """Natural log of the probability of each target after its state. outer: _outer(), if at hand."""
+        weights, bounded, inner, inner_bounded = outer or self._outer()
         cls, order, groups = self._grouped(targets)
+        h1 = self._with_one(h)
         every = np.arange(len(h))
-        logits, e = self._exp(h, self.cls, *self._shift(self.cls, self.cls_b))
-        out = logits[every, cls]
-        out -= np.log(e.sum(axis=1))
-        last = groups[-1][2] if groups else 0
-        order = order[:last]  # the head words
-        states, words, found = h[order], targets[order] % GROUP, np.empty(last, h.dtype)
-        bias, bounded = self._shift(self.out, self.out_b)
+        e = self._logits(h1, weights, bounded)
+        out = e[every, cls]
+        np.exp(e, out=e)
+        out -= np.log(e @ np.ones(e.shape[1], e.dtype))
+        groups = [x for x in groups if x[0] < GROUPS]
+        order = order[: groups[-1][2] if groups else 0]  # the head words
+        states, words = h1.take(order, axis=0), targets[order] % GROUP
+        found, sums, ones = np.empty(len(order), h.dtype), np.empty(len(order), h.dtype), np.ones(GROUP, h.dtype)
         for k, x, y in groups:
-            inner, e = self._exp(states[x:y], self.out[k], bias[k], bounded[k])
-            found[x:y] = inner[every[: y - x], words[x:y]]
-            found[x:y] -= np.log(e.sum(axis=1))
+            e = self._logits(states[x:y], inner[k], inner_bounded[k])
+            found[x:y] = e[every[: y - x], words[x:y]]
+            np.exp(e, out=e)
+            sums[x:y] = e @ ones
+        found -= np.log(sums)
         out[order] += found
         return out
 
@@ -140,16 +160,18 @@ class Gru:
         lengths = np.diff(offsets)
         order = np.argsort(-lengths, kind="stable")
         out = np.zeros(len(order))
+        gates, outer = (self._gates(self.table), self._gates(self.rec)), self._outer()
         for at in range(0, len(order), TOGETHER):
             some = order[at : at + TOGETHER]
-            out[some] = self._score(symbols, offsets[:-1][some], lengths[some])
+            out[some] = self._score(symbols, offsets[:-1][some], lengths[some], gates, outer)
         return out
 
-    def _score(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def _score(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, gates, outer) -> np.ndarray:
         """score() of documents side by side, the longest first."""
         total = np.zeros(len(starts))
         if not lengths[0]:
             return total
+        table, rec = gates
         alive = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left")  # documents longer than t
         h = np.zeros((int(alive[0]), HIDDEN), np.float32)
         before = np.full(len(h), self.end)
@@ -158,7 +180,7 @@ class Gru:
         held = 0
 
         def flush() -> None:
-            got = self.log_probs(np.concatenate(states), np.concatenate(targets))
+            got = self.log_probs(np.concatenate(states), np.concatenate(targets), outer)
             at = 0
             for t in targets:
                 total[: len(t)] += got[at : at + len(t)]
@@ -167,7 +189,7 @@ class Gru:
             targets.clear()
 
         for t, n in enumerate(alive.tolist()):
-            h = self.step(h[:n], before[:n])
+            h = self._next(h[:n], table.take(before[:n], axis=1), rec)[0]
             before = symbols[starts[:n] + t]
             states.append(h)
             targets.append(before)
@@ -201,50 +223,53 @@ class Gru:
     def _window(self, h: np.ndarray, before: np.ndarray, targets: np.ndarray, fresh: np.ndarray, memory: list[np.ndarray], rate: float) -> np.ndarray:
         steps, streams = before.shape
         kind = h.dtype
-        xs, states = self.table[before], np.empty((steps, streams, HIDDEN), kind)
-        was, zr, gn, n = (np.empty((steps, streams, k * HIDDEN), kind) for k in (1, 2, 1, 1))
+        rec = self._gates(self.rec)
+        xs = self._gates(self.table.take(before, axis=0))
+        was, states, gn, n = (np.empty((steps, streams, HIDDEN), kind) for _ in range(4))
+        zr = np.empty((2, steps, streams, HIDDEN), kind)
         anew = fresh.any(axis=1).tolist()
         for t in range(steps):
             if anew[t]:
                 h = np.where(fresh[t][:, None], kind.type(0), h)
-            x, g = xs[t], h @ self.rec
-            was[t], zr[t] = h, _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-            np.add(g[:, 2 * HIDDEN :], self.rec_b, out=gn[t])
-            np.tanh(x[:, 2 * HIDDEN :] + zr[t, :, HIDDEN:] * gn[t], out=n[t])
-            h = n[t] + zr[t, :, :HIDDEN] * (h - n[t])
+            was[t] = h
+            h, zr[:, t], n[t], gn[t] = self._next(h, xs[:, t], rec)
             states[t] = h
         grads, d_flat = self._outputs(states.reshape(-1, HIDDEN), targets.ravel())
         d_states = d_flat.reshape(steps, streams, HIDDEN)
         # what doesn't depend on the steps behind is computed for all steps together
-        z, r = zr[:, :, :HIDDEN], zr[:, :, HIDDEN:]
+        z, r = zr
         to_n, to_z, to_r = (1 - z) * (1 - n * n), (was - n) * z * (1 - z), gn * r * (1 - r)
         d_x, d_g = (np.empty((steps, streams, 3 * HIDDEN), kind) for _ in range(2))
         d_h = np.zeros((streams, HIDDEN), kind)
+        back = np.ascontiguousarray(self.rec.T)
         for t in range(steps - 1, -1, -1):
-            d = d_states[t] + d_h
+            d = d_states[t]
+            d += d_h
             d_n = d * to_n[t]
             np.multiply(d, to_z[t], out=d_g[t, :, :HIDDEN])
             np.multiply(d_n, to_r[t], out=d_g[t, :, HIDDEN : 2 * HIDDEN])
             np.multiply(d_n, r[t], out=d_g[t, :, 2 * HIDDEN :])
             d_x[t, :, 2 * HIDDEN :] = d_n
-            d_h = d * z[t]
-            d_h += d_g[t] @ self.rec.T
+            d_h = d_g[t] @ back
+            d *= z[t]
+            d_h += d
             if anew[t]:
                 d_h[fresh[t]] = 0
         d_x[:, :, : 2 * HIDDEN] = d_g[:, :, : 2 * HIDDEN]
         d_rec = was.reshape(-1, HIDDEN).T @ d_g.reshape(-1, 3 * HIDDEN)
-        d_rec_b = d_g[:, :, 2 * HIDDEN :].sum(axis=(0, 1))
+        d_rec_b = np.ones(steps * streams, kind) @ d_g.reshape(-1, 3 * HIDDEN)[:, 2 * HIDDEN :]
         self._adagrad("rec", d_rec, memory[1], rate)
         self._adagrad("rec_b", d_rec_b, memory[2], rate)
         for k, name in ((3, "cls"), (4, "cls_b"), (5, "out"), (6, "out_b")):
             self._adagrad(name, grads[name], memory[k], rate)
-        rows = before.ravel()
+        rows = before.ravel().astype(np.int16 if len(self.table) < 1 << 15 else np.int64)
         order = np.argsort(rows, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], np.diff(rows[order]) > 0]))
-        sums = np.add.reduceat(d_x.reshape(-1, 3 * HIDDEN)[order], starts)
+        sums = np.add.reduceat(d_x.reshape(-1, 3 * HIDDEN).take(order, axis=0), starts)
         names = rows[order][starts]
-        memory[0][names] += sums * sums
-        self.table[names] -= rate * sums / np.sqrt(memory[0][names])
+        held = memory[0][names] + sums * sums
+        memory[0][names] = held
+        self.table[names] -= rate * sums / np.sqrt(held)
         return h
 
     def _adagrad(self, name: str, grad: np.ndarray, memory: np.ndarray, rate: float) -> None:
@@ -254,23 +279,35 @@ class Gru:
     def _outputs(self, h: np.ndarray, targets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the mean negative log-likelihood for the output weights and the states."""
         m = h.dtype.type(1 / len(h))
+        weights, bounded, inner, inner_bounded = self._outer()
         cls, order, groups = self._grouped(targets)
-        every = np.arange(len(h))
-        p = self._exp(h, self.cls, *self._shift(self.cls, self.cls_b))[1]
-        p *= m / p.sum(axis=1, keepdims=True)
-        p[every, cls] -= m
-        grads = {"cls": h.T @ p, "cls_b": p.sum(0), "out": np.zeros_like(self.out), "out_b": np.zeros_like(self.out_b)}
-        d_h = p @ self.cls.T
-        last = groups[-1][2] if groups else 0
-        order = order[:last]
-        states, words, d_states = h[order], targets[order] % GROUP, np.empty((last, HIDDEN), h.dtype)
-        bias, bounded = self._shift(self.out, self.out_b)
+        h1 = self._with_one(h)
+        states = h1.take(order, axis=0)
+        at = [x for _, x, _ in groups]
+        back, ones = np.ascontiguousarray(self.cls.T), np.ones(len(self.cls_b), h.dtype)
+        d_h, d_cls = np.empty_like(h), np.zeros_like(weights)
+        for x in range(0, len(h), PART):
+            some, d = h1[x : x + PART], d_h[x : x + PART]
+            e = self._logits(some, weights, bounded)
+            np.exp(e, out=e)
+            scale = (m / (e @ ones))[:, None]  # makes e probabilities; applied to the narrower side
+            np.matmul(e, back, out=d)
+            d *= scale
+            some *= scale
+            d_cls += some.T @ e
+        d_h -= (m * back).take(cls, axis=0)
+        d_cls[:, [k for k, _, _ in groups]] -= m * np.add.reduceat(states, at).T
+        d_out = np.zeros_like(inner)
+        groups = [x for x in groups if x[0] < GROUPS]
+        order = order[: groups[-1][2] if groups else 0]  # the head words
+        places = np.arange(len(order)) * GROUP + targets[order] % GROUP
+        d_states, ones = np.empty((len(order), HIDDEN), h.dtype), np.ones(GROUP, h.dtype)
         for k, x, y in groups:
-            q = self._exp(states[x:y], self.out[k], bias[k], bounded[k])[1]
-            q *= m / q.sum(axis=1, keepdims=True)
-            q[every[: y - x], words[x:y]] -= m
-            np.matmul(states[x:y].T, q, out=grads["out"][k])
-            grads["out_b"][k] = q.sum(0)
+            q = self._logits(states[x:y], inner[k], inner_bounded[k])
+            np.exp(q, out=q)
+            q *= (m / (q @ ones))[:, None]
+            q.ravel()[places[x:y] - x * GROUP] -= m
+            np.matmul(states[x:y].T, q, out=d_out[k])
             np.matmul(q, self.out[k].T, out=d_states[x:y])
         d_h[order] += d_states
-        return grads, d_h
+        return {"cls": d_cls[:HIDDEN], "cls_b": d_cls[HIDDEN], "out": d_out[:, :HIDDEN], "out_b": d_out[:, HIDDEN]}, d_h

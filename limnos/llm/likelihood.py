@@ -6,6 +6,7 @@ belongs to one of the tail classes by its ending, and is drawn from its class by
 the probability of a symbol after all that came before in the document.
 
 Counts of the KNOWN most frequent words go to every task (24 bytes each); those of the rest are joined.
+Texts are read twice, for the counts and to stage their symbols, from which the weights and the scores come.
 Training starts from a bounded sample at the driver and goes on over all training documents in ROUNDS rounds:
 the tasks of a round start from one model, read that round's documents, and their weights are averaged.
 
@@ -16,12 +17,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
 
 from limnos.llm.gru import GROUP, GROUPS, TAILS, Gru
 from limnos.llm.text import LOWER, blocks, mix64, small_batches, span_hashes, text_bytes, word_spans
@@ -29,6 +32,8 @@ from limnos.plans.staging import stage
 
 HEAD = GROUP * GROUPS
 KNOWN = 200_000
+#: Bits of a hash by which known words are found.
+TOP = 20
 #: Tokens counted, and scored, together in a task: the more documents go side by side, the fewer steps a token costs.
 CHUNK = 2_000_000
 SCORED = 5_000_000
@@ -126,24 +131,53 @@ class Known:
         order = np.argsort(h)
         return Known(h[order], c[order], symbols[order], n, v, c[:HEAD].astype(float), n_k, np.log10(n_k + 0.1 * (v_k + 1)), int(np.flatnonzero(h == END)[0]))
 
+    @cached_property
+    def index(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes turned, in order, and the greatest number; where each has its count; the first for each value of TOP bits).
+
+        Among words of one count the limit leaves those of the smallest hashes, so their highest bits aren't even;
+        turned, other bits are the highest.
+        """
+        turned = _turned(self.hashes)
+        order = np.argsort(turned)
+        turned = np.append(turned[order], ~np.uint64(0))
+        return turned, np.append(order, 0), np.searchsorted(turned, np.arange(1 << TOP, dtype=np.uint64) << np.uint64(64 - TOP)).astype(np.int32)
+
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(counts, symbols); the count of a word that isn't here is -1."""
-        at = np.searchsorted(self.hashes, h)
-        at[at == len(self.hashes)] = 0
-        hit = self.hashes[at] == h
+        turned, order, first = self.index
+        want = _turned(h)
+        at = first.take(want >> np.uint64(64 - TOP))
+        late = np.flatnonzero(turned.take(at) < want)
+        while len(late):  # further in the bucket
+            at[late] += 1
+            late = late[turned.take(at[late]) < want[late]]
+        at = order.take(at)
+        hit = self.hashes.take(at) == h
         return np.where(hit, self.counts[at], -1), np.where(hit, self.symbols[at], HEAD + (h & np.uint64(TAILS - 1)).astype(np.int64))
 
 
-def _symbols(batches, known: Known) -> tuple[np.ndarray, np.ndarray]:
-    """All symbols of the rows, and whether each begins a document."""
-    held, firsts = [], []
-    for part in blocks(batches, "text"):
-        h, offsets = tokens(part.column(part.schema.get_field_index("text")))
-        held.append(known.look_up(h)[1].astype(np.int32))
-        first = np.zeros(len(h), bool)
-        first[offsets[:-1]] = True
-        firsts.append(first)
-    return (np.concatenate(held), np.concatenate(firsts)) if held else (np.zeros(0, np.int32), np.zeros(0, bool))
+def _turned(h: np.ndarray) -> np.ndarray:
+    """Hashes with their bits from the 44th down first."""
+    return (h << np.uint64(20)) | (h >> np.uint64(44))
+
+
+def _symbols(batches) -> tuple[np.ndarray, np.ndarray]:
+    """All symbols of the rows (column symbols), and whether each begins a document."""
+    held, lengths = [], []
+    for batch in batches:
+        column = batch.column(batch.schema.get_field_index("symbols")).cast(pa.large_binary())
+        if len(column):
+            _, where, data = column.buffers()
+            offsets = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1] // 2
+            held.append(np.frombuffer(data, np.uint16)[offsets[0] : offsets[-1]].astype(np.int32))
+            lengths.append(np.diff(offsets))
+    if not held:
+        return np.zeros(0, np.int32), np.zeros(0, bool)
+    symbols, lengths = np.concatenate(held), np.concatenate(lengths)
+    first = np.zeros(len(symbols), bool)
+    first[np.cumsum(lengths) - lengths] = True
+    return symbols, first
 
 
 def _means(batches) -> Iterator[pa.RecordBatch]:
@@ -158,23 +192,55 @@ def _means(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([(w / tokens_of[i]).tobytes() for i, w in sums.items()], pa.binary())], names=["i", "w"])
 
 
-def train(texts: DataFrame, known: Known, given, share: int = SHARE, warm: int = WARM, task_tokens: int = TASK_TOKENS, rounds: int = ROUNDS) -> Gru:
-    """Weights from the training texts (column text, and x, a hash that deals them to shares and rounds). given: known, broadcast."""
+def encode(rows: DataFrame, given) -> DataFrame:
+    """rows (column text among others) with their symbols, and what their words count, in place of their texts.
+
+    symbols: 16 bits each; n_tokens, n_known; base: the sum of log10 (c + 0.1) of known words; own: that of words drawn
+    from tail classes; rare: the hashes of the other words. given: the known words, broadcast.
+    """
+    others = [f for f in rows.schema.fields if f.name != "text"]
+    added = [StructField("symbols", BinaryType()), StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("base", DoubleType()), StructField("own", DoubleType()), StructField("rare", ArrayType(LongType()))]
+    schema = StructType([*others, *added])
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        known = given.value
+        for part in blocks(batches, "text"):
+            h, offsets = tokens(part.column(part.num_columns - 1))
+            c, symbols = known.look_up(h)
+            there = c >= 0
+            sums = lambda x, offsets=offsets: np.add.reduceat(x, offsets[:-1])  # noqa: E731  every row has its end
+            log_c = np.where(there, np.log10(np.maximum(c, 0) + 0.1), 0.0)
+            own = np.where(symbols >= HEAD, log_c - known.tail_log[symbols & (TAILS - 1)], 0.0)
+            packed = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((2 * offsets).astype(np.int32)), pa.py_buffer(symbols.astype(np.uint16))])
+            rare = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sums((~there).astype(np.int64)))).astype(np.int32)), pa.array(h[~there].view(np.int64)))
+            sizes = [np.diff(offsets).astype(np.int64), sums((c > 0).astype(np.int64)), sums(log_c), sums(own)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], packed, *map(pa.array, sizes), rare], names=schema.names)
+
+    return rows.select(*[F.col(f"`{f.name}`") for f in others], "text").mapInArrow(run, schema)
+
+
+def train(texts: DataFrame, known: Known, given, **how) -> Gru:
+    """Weights from the training texts: column text, and x as for fit(). given: known, broadcast."""
+    return fit(encode(texts.select("x", (F.length("text") <= WARM_CHARS).alias("short"), "text"), given), known, **how)
+
+
+def fit(rows: DataFrame, known: Known, share: int = SHARE, warm: int = WARM, task_tokens: int = TASK_TOKENS, rounds: int = ROUNDS) -> Gru:
+    """Weights from symbols. x: a hash that deals rows to shares and rounds; short: whether a row may start the weights."""
     net = Gru.new(known.head_counts, known.tail_counts, known.end)
-    first = texts.filter(F.length("text") <= WARM_CHARS).orderBy("x", "text").limit(warm).select("text").toArrow()
-    net = net.train(*_symbols(iter(first.to_batches()), known), epochs=2)
+    first = rows.filter("short").select("x", "symbols").orderBy("x", "symbols").limit(warm).select("symbols").toArrow()
+    net = net.train(*_symbols(first.to_batches()), epochs=2)
     tasks = max(1, -(-known.n // (share * rounds * task_tokens)))
     for turn in range(rounds):
-        start = texts.sparkSession.sparkContext.broadcast(net)
+        start = rows.sparkSession.sparkContext.broadcast(net)
 
         def run(batches, start=start) -> Iterator[pa.RecordBatch]:
-            symbols, begins = _symbols(batches, given.value)
+            symbols, begins = _symbols(batches)
             if len(symbols):
                 got = start.value.train(symbols, begins, rate=RATE, streams=STREAMS).flat()
                 parts = np.array_split(got, PARTS)
                 yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([len(symbols)] * PARTS), pa.array([w.tobytes() for w in parts], pa.binary())], names=["i", "n", "w"])
 
-        part = texts.filter(F.pmod(F.col("x"), F.lit(share * rounds)) == share * turn).select("text").repartition(tasks)
+        part = rows.filter(F.pmod(F.col("x"), F.lit(share * rounds)) == share * turn).select("symbols").repartition(tasks)
         mean = part.mapInArrow(run, "i int, n long, w binary").repartition("i").mapInArrow(_means, "i int, w binary").toArrow()
         if mean.num_rows:
             by_part = dict(zip(mean.column("i").to_pylist(), mean.column("w").to_pylist(), strict=True))
@@ -193,57 +259,46 @@ def likelihoods(docs: DataFrame, training: Column, id_col: str = "doc_id", text_
     """
     small_batches(docs)
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`").alias(id_col), training.alias("__train"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    # the hash is of the id too, so that copies of one text are sampled like other rows
-    learned = rows.filter("__train").select("text", F.xxhash64(F.col(f"`{id_col}`"), "text").alias("x"))
-    counts = stage(count_tokens(learned.select("text")), "counts")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), training.alias("training"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    counts = stage(count_tokens(rows.filter("training").select("text")), "counts")
     known = Known.of(counts, known_words)
     given = spark.sparkContext.broadcast(known)
-    net = spark.sparkContext.broadcast(train(learned, known, given, share))
-    names = ["n_tokens", "n_known", "base", "score", "rare"]
-    schema = StructType([docs.schema[id_col], rows.schema["__train"], StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("base", DoubleType()), StructField("score", DoubleType())])
-    with_rare = StructType([*schema.fields, StructField("rare", ArrayType(LongType()))])
+    # the hash is of the id too, so that copies of one text are sampled like other rows
+    rows = rows.select("id", "training", F.xxhash64("id", "text").alias("x"), (F.length("text") <= WARM_CHARS).alias("short"), "text")
+    encoded = stage(encode(rows, given).withColumn("row", F.monotonically_increasing_id()), "encoded")
+    net = spark.sparkContext.broadcast(fit(encoded.filter("training"), known, share))
+    plain = ["row", "id", "training", "n_tokens", "n_known", "base"]
+    schema = StructType([*[encoded.schema[k] for k in plain], StructField("score", DoubleType())])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        known, model = given.value, net.value
-        held: list[tuple] = []
+        model = net.value
+        held: list[pa.RecordBatch] = []
         n = 0
 
         def out() -> pa.RecordBatch:
-            ids = [pa.concat_arrays([x[i] for x in held]) for i in (0, 1)]
-            symbols = np.concatenate([x[2] for x in held])
-            lengths = np.concatenate([x[3] for x in held])
-            offsets = np.append(0, np.cumsum(lengths))
-            score = model.score(symbols, offsets) / np.log(10)
-            parts = [np.concatenate([x[i] for x in held]) for i in (4, 5, 6)]
-            rare, n_rare = np.concatenate([x[7] for x in held]), np.concatenate([x[8] for x in held])
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_rare)).astype(np.int32)), pa.array(rare.view(np.int64)))
-            return pa.RecordBatch.from_arrays([*ids, pa.array(lengths.astype(np.int64)), pa.array(parts[0].astype(np.int64)), pa.array(parts[1]), pa.array(score + parts[2]), lists], names=[id_col, "__train", *names])
-
-        for part in blocks(batches, "text"):
-            h, offsets = tokens(part.column(2))
-            c, symbols = known.look_up(h)
-            there = c >= 0
-            sums = lambda x, offsets=offsets: np.add.reduceat(x, offsets[:-1])  # noqa: E731  every row has its end
-            log_c = np.where(there, np.log10(np.maximum(c, 0) + 0.1), 0.0)
-            tail = symbols >= HEAD
-            own = np.where(tail, log_c - known.tail_log[symbols & (TAILS - 1)], 0.0)
-            held.append((part.column(0), part.column(1), symbols.astype(np.int32), np.diff(offsets), sums((c > 0).astype(np.int64)), sums(log_c), sums(own), h[~there], sums((~there).astype(np.int64))))
-            n += len(h)
+            columns = [pa.concat_arrays([x.column(i) for x in held]) for i in range(len(plain) + 1)]
+            offsets = np.append(0, np.cumsum(columns[3].to_numpy()))
+            score = model.score(_symbols(held)[0], offsets) / np.log(10) + columns[-1].to_numpy()
+            return pa.RecordBatch.from_arrays([*columns[:-1], pa.array(score)], names=schema.names)
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += int(pc.sum(batch.column(3)).as_py())
             if n >= SCORED:
                 yield out()
                 held, n = [], 0
         if held:
             yield out()
 
-    scored = stage(rows.mapInArrow(run, with_rare).withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row", F.explode("rare").alias("h")).join(counts, "h", "left")
+    scored = encoded.select(*plain, "own", "symbols").mapInArrow(run, schema)
+    rare = encoded.select("row", F.explode("rare").alias("h")).join(counts, "h", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("rare_log"), F.count("c").alias("rare_known"))
-    both = scored.drop("rare").join(rare, "row", "left")
+    both = scored.join(rare, "row", "left")
     floor = float(np.log10(known.n + 0.1 * (known.v + 1)))
     more = F.coalesce("rare_log", F.lit(0.0))
     return both.select(
-        id_col, F.col("__train").alias("training"), "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(known.n).cast("long").alias("train_tokens"),
+        F.col("id").alias(id_col), "training", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(known.n).cast("long").alias("train_tokens"),
         (F.col("base") + more - F.col("n_tokens") * F.lit(floor)).alias("base_score"), (F.col("score") + more).alias("score"),
     )
 

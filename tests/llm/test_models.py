@@ -435,6 +435,37 @@ def test_scores_equal_brute_force(spark, sf):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+@pytest.mark.parametrize("lowest", [0, 1 << 63, (1 << 64) - (1 << 50)])
+def test_known_words_are_found_in_a_few_steps_whatever_their_hashes(monkeypatch, lowest):
+    # among words of one count those of the smallest hashes are known, which lie close together
+    r = np.random.default_rng(3)
+    h = np.unique(r.integers(lowest, max((1 << 64) - 1, lowest + 1) if lowest else 1 << 64, 200_000, np.uint64, endpoint=False))
+    known, other = np.append(np.uint64(0), h[1::2]), h[2::2]
+    counts, symbols = np.arange(len(known)) + 7, np.arange(len(known))
+    table = likelihood.Known(known, counts, symbols, 1, 1, np.ones(1), np.ones(1), np.ones(1), 0)
+    steps = []
+    monkeypatch.setattr(likelihood.np, "flatnonzero", lambda x, real=np.flatnonzero: steps.append(x.mean()) or real(x))
+    asked = r.permutation(np.concatenate([known, other]))
+    got, names = table.look_up(asked)
+    want = dict(zip(known.tolist(), counts.tolist(), strict=True))
+    assert got.tolist() == [want.get(x, -1) for x in asked.tolist()]
+    assert names.tolist() == [want[x] - 7 if x in want else likelihood.HEAD + x % 64 for x in asked.tolist()]
+    assert np.bincount((table.index[0] >> np.uint64(44)).astype(int)).max() < 10 and steps[0] < 0.2
+
+
+def test_texts_are_read_for_counts_and_symbols_only(spark, monkeypatch):
+    """Training and scoring read staged symbols: texts are cut into tokens twice, not again for each of them."""
+    staged = {}
+    real = likelihood.stage
+    monkeypatch.setattr(likelihood, "stage", lambda df, name: staged.setdefault(name, real(df, name)))
+    docs = spark.createDataFrame([(i, f"one two three {i} four") for i in range(50)], "doc_id long, text string").coalesce(1)
+    out = likelihood.likelihoods(docs, F.col("doc_id") % 10 != 0)
+    assert "text" not in staged["encoded"].columns and "symbols" in staged["encoded"].columns
+    assert {f.rsplit("/", 2)[1].split("-")[0] for f in out.inputFiles()} == {"counts", "encoded"}
+    rows = staged["encoded"].select("symbols", "n_tokens").collect()
+    assert all(len(r["symbols"]) == 2 * r["n_tokens"] for r in rows)
+
+
 def test_every_training_document_trains_the_weights(spark, monkeypatch):
     turned = []
     real = gru.Gru.with_flat
