@@ -5,6 +5,9 @@ Stages are written as Parquet and read again, so a lost executor costs a stage's
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,24 @@ from limnos.llm import jaccard, language, mixing, pieces, secrets
 from limnos.llm.text import plain_names
 from limnos.plans.staging import stage
 
+#: Python workers live through all stages, and some wait while others run; with these settings of Arrow's pool and
+#: of glibc, arrays of a megabyte or more go back to the system when they are freed, and so do free ends of the heap.
+ALLOCATORS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20)}
+
+
+def lean(work: Callable) -> Callable:
+    """The stage, its Python workers started with ALLOCATORS where the session has no settings of its own."""
+
+    @wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for name, value in ALLOCATORS.items():
+            spark.sparkContext.environment.setdefault(name, value)
+        return work(spark, docs, sf_dir)
+
+    return run
+
 
+@lean
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; a document without a given one gets the language found."""
     named, at = plain_names(docs)
@@ -23,11 +43,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return out.select(*[(lang if name == "lang" else F.col(new)).alias(name) for name, new in at.items()])
 
 
+@lean
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest id; of repeated rows, one."""
     return jaccard.one_of_each(docs)
 
 
+@lean
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, the secrets in their text replaced."""
     return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -38,6 +60,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.mixed(docs)
 
 
+@lean
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digest of the text that they decode to."""
     import public_tokenizers

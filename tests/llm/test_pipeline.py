@@ -1,5 +1,7 @@
 import hashlib
+import os
 
+import pyarrow as pa
 import pytest
 from brute import base_secrets, redacted, taken
 from test_jaccard import brute as components
@@ -43,6 +45,22 @@ def test_the_last_stage_decodes(spark, docs):
     assert got == {i: hashlib.sha256(lib.decode(lib.encode(t or "")).encode()).hexdigest() for i, t in enumerate(texts, 1)}
 
 
+@pytest.mark.parametrize("own", [{}, {"MALLOC_TRIM_THRESHOLD_": "2097152"}])
+def test_workers_of_all_stages_give_memory_back(spark, docs, monkeypatch, own):
+    def settings(batches):
+        list(batches)
+        names = ("MALLOC_MMAP_THRESHOLD_", "MALLOC_TRIM_THRESHOLD_")
+        yield pa.RecordBatch.from_pydict({"x": [pa.default_memory_pool().backend_name, *[os.environ.get(n, "") for n in names]]})
+
+    for name, work in corpus_pipeline.STAGES:
+        if name.startswith("mixing"):
+            continue  # without Python workers
+        monkeypatch.setattr(spark.sparkContext, "environment", {k: v for k, v in spark.sparkContext.environment.items() if k not in corpus_pipeline.ALLOCATORS} | own)
+        rows = work(spark, docs(["some words of a text", None]).coalesce(1), "").coalesce(1)
+        got = [r["x"] for r in rows.select("doc_id").mapInArrow(settings, "x string").collect()]
+        assert got == ["system", "1048576", own.get("MALLOC_TRIM_THRESHOLD_", "1048576")]
+
+
 def test_it_is_registered():
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries if q.startswith("op")} and "pipeline" in queries
